@@ -97,9 +97,9 @@ def dense_calendar(spark: SparkSession, grain: Grain, first: Column, last: Colum
 
 
 def whole_seconds(ts: Column) -> Column:
-    """Cut a time to whole seconds, the precision of the logs; free of time zones."""
-    part = F.date_part(F.lit("SECOND"), ts) % 1
-    return ts - F.make_dt_interval(secs=part)
+    """Cut a time without zone to whole seconds, the precision of the logs."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", F.unix_timestamp(ts), epoch)
 
 
 def between_keys(df: DataFrame, column: str, low, high) -> DataFrame:

@@ -20,8 +20,10 @@ def clean_channel(name: Column) -> Column:
 
 def log_time(text: Column) -> Column:
     """``yyyyMMddHHmmss`` as a time without zone; null if it is not one."""
-    iso = F.regexp_replace(text, r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3 $4:$5:$6")
-    return F.when(text.rlike(r"^\d{14}$"), iso.try_cast("timestamp_ntz"))
+    cuts = [(1, 4, "-"), (5, 2, "-"), (7, 2, " "), (9, 2, ":"), (11, 2, ":"), (13, 2, "")]
+    parts = [part for at, n, mark in cuts for part in (F.substring(text, at, n), F.lit(mark))]
+    digits = (F.length(text) == 14) & (F.translate(text, "0123456789", "") == "")
+    return F.when(digits, F.concat(*parts[:-1]).try_cast("timestamp_ntz"))
 
 
 def time_text(ts: Column) -> Column:

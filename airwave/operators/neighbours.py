@@ -1,54 +1,47 @@
-"""The next or previous event of a user, safe for a user with a huge share of the rows.
+"""The time of a user's next or previous event, safe for a user with a huge share of rows.
 
 A plain ``lead`` over (user, time) sorts all rows of a user in one task. Here each user's
-time line is cut into hours: the window runs per (user, hour), and only the first and
-last row of every hour, at most two per user and hour, meet in a second window per user.
-That second group grows with the length of the calendar and not with the data. Both
-windows read the same shuffle of the rows, so the rows travel once.
+time line is cut into hours, and the window runs per (user, hour). What lies beyond an hour
+is the first (or last) time of the user's nearest hour with rows: a grouped minimum per
+(user, hour), so its window per user grows with the calendar and not with the data. The
+rows are shuffled and sorted once; the join back finds them placed by (user, hour), and a
+later sum per user and hour needs no further shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def _with_neighbour(
-    rows: DataFrame, value: Column, name: str, order: list[str], by: str, ahead: bool
+    rows: DataFrame, name: str, order: list[str], by: str, ahead: bool
 ) -> DataFrame:
-    slot = [F.to_date("ts").alias("_day"), F.hour("ts").alias("_hour")]
-    step, back = (F.lead, F.lag) if ahead else (F.lag, F.lead)
-    inside = Window.partitionBy(by, "_day", "_hour").orderBy(*order)
-    marked = rows.select("*", *slot, value.alias("_value")).select(
-        "*",
-        step("_value").over(inside).alias(name),
-        back(F.lit(True)).over(inside).isNull().alias("_entry"),
+    slot = [by, "day", "hour"]
+    step, edge = (F.lead, F.min) if ahead else (F.lag, F.max)
+    rows = rows.withColumns({"day": F.to_date("ts"), "hour": F.hour("ts").cast("int")})
+    inside = Window.partitionBy(*slot).orderBy(*order)
+    across = Window.partitionBy(by).orderBy("day", "hour")
+    beyond = (
+        rows.groupBy(*slot)
+        .agg(edge("ts").alias("_edge"))
+        .select(*slot, step("_edge").over(across).alias("_beyond"))
     )
-    settled = marked.filter(F.col(name).isNotNull())
-    # Rows at an edge: those that lack a neighbour, and those another hour looks for.
-    across = Window.partitionBy(by).orderBy("_day", "_hour", *order)
-    edges = (
-        marked.filter(F.col(name).isNull() | F.col("_entry"))
-        .withColumn("_beyond", step("_value").over(across))
-        .filter(F.col(name).isNull())
-        .withColumn(name, F.col("_beyond"))
+    near = rows.withColumn("_near", step("ts").over(inside))
+    return near.join(beyond, slot, "left").select(
+        *rows.columns, F.coalesce("_near", "_beyond").alias(name)
     )
-    columns = [*rows.columns, name]
-    return settled.select(*columns).unionByName(edges.select(*columns))
 
 
-def with_next(
-    rows: DataFrame, value: Column, name: str, order: list[str], by: str = "uid"
-) -> DataFrame:
-    """Add ``value`` of the following row of the same user; null on the last one.
+def with_next(rows: DataFrame, name: str, order: list[str], by: str = "uid") -> DataFrame:
+    """Add ``day``, ``hour`` and the ``ts`` of the same user's following row, null on the last.
 
-    ``order`` must begin with ``ts`` and be a total order within a user.
+    ``order`` must begin with ``ts`` and be a total order within a user. Rows are read
+    twice, so they must not depend on chance.
     """
-    return _with_neighbour(rows, value, name, order, by, ahead=True)
+    return _with_neighbour(rows, name, order, by, ahead=True)
 
 
-def with_previous(
-    rows: DataFrame, value: Column, name: str, order: list[str], by: str = "uid"
-) -> DataFrame:
-    """Add ``value`` of the preceding row of the same user; null on the first one."""
-    return _with_neighbour(rows, value, name, order, by, ahead=False)
+def with_previous(rows: DataFrame, name: str, order: list[str], by: str = "uid") -> DataFrame:
+    """Add ``day``, ``hour`` and the ``ts`` of the same user's preceding row, null on the first."""
+    return _with_neighbour(rows, name, order, by, ahead=False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.functions.calendar import month_key, week_key, with_calendar_keys
+from airwave.functions.calendar import month_key, week_key
 from airwave.functions.text import tail_digits
 from airwave.operators.neighbours import with_next, with_previous
 
@@ -18,26 +18,26 @@ VIEWING_KEYS = ["uid", "month", "week", "day", "hour", "channel_name", "program_
 
 
 def shutdown_times(
-    power: DataFrame, tie: list[str] | None = None, random_offset: bool = False
+    power: DataFrame, tie: list[str] | None = None, draw: int | None = None
 ) -> DataFrame:
     """One shutdown record per switch-on that follows another power record.
 
-    The box went off within one heartbeat after the last record before the switch-on: the
-    offset of 0-9 minutes is a hash of user and time, so a rerun gives the same records;
-    ``random_offset`` draws it instead.
+    The box went off within one heartbeat after the last record before the switch-on. The
+    offset of 0-9 minutes is a hash of user and time, so a rerun or a retried task gives the
+    same records; another ``draw`` gives other offsets, as random as they need to be.
 
     Takes (uid, ts, opens, ``tie`` columns) and keeps the ``tie`` columns.
     """
     tie = tie or []
-    before = with_previous(power, F.col("ts"), "off", ["ts", "opens", *tie])
-    if random_offset:
-        offset = F.floor(F.rand() * HEARTBEAT_MINUTES)
-    else:
+    before = with_previous(power, "off", ["ts", "opens", *tie])
+    if draw is None:
         seed = F.coalesce(tail_digits(F.col("uid")), F.lit(0)) * 31 + F.unix_timestamp("off")
-        offset = F.pmod(seed, F.lit(HEARTBEAT_MINUTES))
+    else:
+        seed = F.xxhash64("uid", "off", F.lit(draw))
+    offset = F.pmod(seed, F.lit(HEARTBEAT_MINUTES)).cast("int")
     return before.filter(F.col("opens") & F.col("off").isNotNull()).select(
         "uid",
-        (F.col("off") + F.make_dt_interval(mins=offset.cast("int"))).alias("ts"),
+        F.timestamp_add("MINUTE", offset, F.col("off")).alias("ts"),
         F.lit(SHUTDOWN).alias("channel_name"),
         F.lit(SHUTDOWN).alias("program_name"),
         *tie,
@@ -47,16 +47,15 @@ def shutdown_times(
 def dwell_times(live: DataFrame, shutdowns: DataFrame, tie: list[str] | None = None) -> DataFrame:
     """Seconds from each live record to the user's next record, live or shutdown.
 
-    A user's last record has no dwell. Records at the same second order by ``off``
-    (live first) and then by the ``tie`` columns, by default the names.
+    A user's last record has no dwell. Records at the same second order by kind (live
+    first) and then by the ``tie`` columns, by default the names. Adds ``day`` and ``hour``.
     """
     tie = tie or ["channel_name", "program_name"]
     stream = live.withColumn("off", F.lit(0)).unionByName(shutdowns.withColumn("off", F.lit(1)))
-    order = ["ts", "off", *tie]
-    following = with_next(stream, F.col("ts"), "next_ts", order)
+    following = with_next(stream, "next_ts", ["ts", "off", *tie])
     seconds = F.unix_timestamp("next_ts") - F.unix_timestamp("ts")
     return (
-        following.filter(F.col("channel_name") != SHUTDOWN)
+        following.filter(F.col("off") == 0)
         .withColumn("seconds", seconds)
         .filter(F.col("seconds").between(SHORTEST, LONGEST))
         .drop("off", "next_ts")
@@ -65,8 +64,9 @@ def dwell_times(live: DataFrame, shutdowns: DataFrame, tie: list[str] | None = N
 
 def hourly_viewing(dwell: DataFrame) -> DataFrame:
     """Sum the dwell of a user per start hour, channel and program."""
+    day = F.col("day")
     return (
-        with_calendar_keys(dwell)
+        dwell.withColumns({"month": month_key(day), "week": week_key(day)})
         .groupBy(*VIEWING_KEYS)
         .agg(F.sum("seconds").alias("seconds"))
     )

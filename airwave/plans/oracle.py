@@ -36,8 +36,8 @@ def div(x: str, y: str) -> str:
 
 
 def r4(x: str) -> str:
-    """Round half up on the decimal digits, as report text does."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), 4) AS DOUBLE)"
+    """Round half up on the digits that the double prints, as report text does."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), 4) AS DOUBLE)"
 
 
 def mins(x: str) -> str:
@@ -473,7 +473,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dwell_time": with_(
             ", ".join([EV, LIVE_ROWS, SHUT, DWELL]),
-            f"SELECT event_id, uid, {text('ts')} AS ts, channel_name, program_name, seconds FROM dwell",
+            f"SELECT event_id, uid, {text('ts')} AS ts, channel_name, program_name, "
+            f"{text('CAST(ts AS DATE)')} AS day, CAST(hour(ts) AS INTEGER) AS hour, seconds FROM dwell",
         ),
         "dwell_hourly": with_(LIVE_ALL, hours_text()),
         "split_dwell_hours": with_(LIVE_PIECES, hours_text("pieces")),

@@ -52,19 +52,18 @@ def parsed_log(spark: SparkSession, d: str) -> DataFrame:
     return logs.parse_raw_log(tables.raw_log_lines(spark, d))
 
 
-def live_summary(spark: SparkSession, d: str, grain: Grain) -> DataFrame:
-    return flows.period_summary(live_hours(spark, d), grain, *LIVE_DAYS)
+def live_summary(hours: DataFrame, grain: Grain) -> DataFrame:
+    return flows.period_summary(hours, grain, *LIVE_DAYS)
 
 
-def demand_summary(spark: SparkSession, d: str, grain: Grain) -> DataFrame:
+def demand_summary(rows: DataFrame, base: DataFrame, grain: Grain) -> DataFrame:
     return flows.period_summary(
-        tables.demand_viewing(spark, d), grain, *DEMAND_DAYS,
-        seed_cover=tables.base_users(spark, d), look_back=True, demand=True,
+        rows, grain, *DEMAND_DAYS, seed_cover=base, look_back=True, demand=True
     )
 
 
-def demand_hour_summary(spark: SparkSession, d: str, grain: Grain) -> DataFrame:
-    return flows.period_summary(tables.demand_hours(spark, d), grain, *LIVE_DAYS, demand=True)
+def demand_hour_summary(rows: DataFrame, grain: Grain) -> DataFrame:
+    return flows.period_summary(rows, grain, *LIVE_DAYS, demand=True)
 
 
 # Scans.
@@ -137,22 +136,15 @@ def shutdown_times(spark, d):
     return viewing.shutdown_times(tables.power_log(spark, d), TIE)
 
 
-def dwell_time(spark, d):
-    return live_dwell(spark, d)
-
-
-def dwell_hourly(spark, d):
-    return live_hours(spark, d)
-
-
-def split_dwell_hours(spark, d):
-    return live_pieces(spark, d)
+# Flows.
 
+def live_prepare(grain: Grain, spark, d):
+    return flows.tagged(live_summary(live_hours(spark, d), grain), grain)
 
-# Flows.
 
-def prepared(summary, grain: Grain, spark, d):
-    return flows.tagged(summary(spark, d, grain), grain)
+def demand_prepare(grain: Grain, spark, d):
+    rows, base = tables.demand_viewing(spark, d), tables.base_users(spark, d)
+    return flows.tagged(demand_summary(rows, base, grain), grain)
 
 
 def live_prepare_seeded(spark, d, grain: Grain = DAY):
@@ -177,7 +169,7 @@ def demand_prepare_look_back(spark, d):
 
 
 def cover_users_day(spark, d):
-    return live_summary(spark, d, DAY).select("day", "cover_user_num")
+    return live_summary(live_hours(spark, d), DAY).select("day", "cover_user_num")
 
 
 def users_by_period(spark, d):
@@ -201,18 +193,20 @@ def moved_in_day(spark, d, entering: bool = True):
 # Live reports.
 
 def live_summary_report(grain: Grain, spark, d):
+    hours = live_hours(spark, d)
     if grain is HOUR:
-        cover = live_summary(spark, d, DAY)
-        return kpi.hour_summary_report(live_pieces(spark, d), cover, kpi.LIVE)
-    return kpi.summary_report(live_summary(spark, d, grain), grain, kpi.LIVE)
+        cover = live_summary(hours, DAY)
+        return kpi.hour_summary_report(viewing.split_hours(hours), cover, kpi.LIVE)
+    return kpi.summary_report(live_summary(hours, grain), grain, kpi.LIVE)
 
 
 def live_group_report(report, grain: Grain, spark, d, **options):
+    rows = hours = live_hours(spark, d)
     if grain is HOUR:
-        rows = live_pieces(spark, d)
-        totals = kpi.hour_totals(rows, live_summary(spark, d, DAY))
+        rows = viewing.split_hours(hours)
+        totals = kpi.hour_totals(rows, live_summary(hours, DAY))
     else:
-        rows, totals = live_hours(spark, d), live_summary(spark, d, grain)
+        totals = live_summary(hours, grain)
     dictionary = tables.channel_dictionary(spark)
     return report(rows, dictionary, totals, grain, kpi.LIVE, **options)
 
@@ -230,21 +224,28 @@ def enrich_type(spark, d):
 
 def demand_summary_report(grain: Grain, spark, d):
     if grain is HOUR:
-        rows = kpi.distinct_requests(tables.demand_hours(spark, d), HOUR)
-        return kpi.hour_summary_report(rows, demand_hour_summary(spark, d, DAY), kpi.DEMAND)
-    return kpi.summary_report(demand_summary(spark, d, grain), grain, kpi.DEMAND)
+        rows = tables.demand_hours(spark, d)
+        cover = demand_hour_summary(rows, DAY)
+        return kpi.hour_summary_report(kpi.distinct_requests(rows, HOUR), cover, kpi.DEMAND)
+    rows, base = tables.demand_viewing(spark, d), tables.base_users(spark, d)
+    return kpi.summary_report(demand_summary(rows, base, grain), grain, kpi.DEMAND)
 
 
 def demand_group_report(report, grain: Grain, spark, d):
     if grain is HOUR:
-        rows = kpi.distinct_requests(tables.demand_hours(spark, d), HOUR)
-        cover = demand_hour_summary(spark, d, DAY)
-        totals = kpi.hour_totals(rows, cover, shows="show_name")
-        return report(rows, tables.hour_show_dictionary(spark), totals, grain, kpi.DEMAND)
-    rows = kpi.distinct_requests(tables.demand_viewing(spark, d), grain)
-    totals = demand_summary(spark, d, grain)
-    dictionary = tables.show_dictionary(spark, d)
-    return report(rows, dictionary, totals, grain, kpi.DEMAND, kinds=tables.PART_TYPES)
+        rows = tables.demand_hours(spark, d)
+        seen = kpi.distinct_requests(rows, HOUR)
+        totals = kpi.hour_totals(seen, demand_hour_summary(rows, DAY), shows="show_name")
+        return report(seen, tables.hour_show_dictionary(spark), totals, grain, kpi.DEMAND)
+    rows, base = tables.demand_viewing(spark, d), tables.base_users(spark, d)
+    return report(
+        kpi.distinct_requests(rows, grain),
+        tables.show_dictionary(spark, d),
+        demand_summary(rows, base, grain),
+        grain,
+        kpi.DEMAND,
+        kinds=tables.PART_TYPES,
+    )
 
 
 def dedupe_demand(spark, d):
@@ -267,10 +268,10 @@ def overview_of(grain: Grain, spark, d):
         return overview.hour_overview_report(
             live_summary_report(HOUR, spark, d), demand_summary_report(HOUR, spark, d)
         )
-    demand = demand_hour_summary(spark, d, grain)
+    demand = demand_hour_summary(tables.demand_hours(spark, d), grain)
     if grain is WEEK:
         demand = shift_week(demand, 1)
-    return overview.overview_report(live_summary(spark, d, grain), demand, grain)
+    return overview.overview_report(live_summary(live_hours(spark, d), grain), demand, grain)
 
 
 # Extractions and layout.
@@ -326,9 +327,9 @@ def _registry() -> dict[str, Query]:
         "route_events": route_events,
         "route_events_sorted": route_events_sorted,
         "shutdown_times": shutdown_times,
-        "dwell_time": dwell_time,
-        "dwell_hourly": dwell_hourly,
-        "split_dwell_hours": split_dwell_hours,
+        "dwell_time": live_dwell,
+        "dwell_hourly": live_hours,
+        "split_dwell_hours": live_pieces,
         "live_prepare_seeded": live_prepare_seeded,
         "demand_prepare_look_back": demand_prepare_look_back,
         "cover_users_day": cover_users_day,
@@ -358,8 +359,8 @@ def _registry() -> dict[str, Query]:
         named[f"demand_show_{name}"] = partial(demand_group_report, kpi.item_report, grain)
         named[f"overview_{name}"] = partial(overview_of, grain)
         if grain is not HOUR:
-            named[f"live_prepare_{name}"] = partial(prepared, live_summary, grain)
-            named[f"demand_prepare_{name}"] = partial(prepared, demand_summary, grain)
+            named[f"live_prepare_{name}"] = partial(live_prepare, grain)
+            named[f"demand_prepare_{name}"] = partial(demand_prepare, grain)
     return {name: partial(_text_dates, query) for name, query in named.items()}
 
 

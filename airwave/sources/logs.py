@@ -53,9 +53,13 @@ def parse_raw_log(lines: DataFrame) -> DataFrame:
     """Split ``;`` lines and name the fields the jobs use.
 
     Trailing empty fields do not count towards ``n_fields``: they are cut off first.
+
+    The array of fields goes through a one-element ``explode``: filters on single fields
+    then stay above it, so a line is split once and not again for every condition.
     """
     fields = F.split(F.rtrim(F.col("value"), F.lit(";")), ";")
-    return lines.select(fields.alias("f"), F.col("value").alias("line")).select(
+    split = lines.select(F.col("value").alias("line"), F.explode(F.array(fields)).alias("f"))
+    return split.select(
         F.get("f", F.lit(0)).alias("code"),
         F.get("f", F.lit(1)).alias("time_text"),
         F.get("f", F.lit(2)).alias("uid"),

@@ -45,14 +45,14 @@ def parse_records(lines: DataFrame, layout, separator: str = "\t") -> DataFrame:
     """Typed columns of separated lines.
 
     A field that does not parse becomes null, and a line without its first field or of
-    blank text is dropped.
+    blank text is dropped. As in ``parse_raw_log``, a line is split once.
     """
     fields = F.split(F.col("value"), separator)
     typed = [
         F.get("f", F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(layout)
     ]
     first = layout[0][0]
-    split = lines.filter(F.col("value") != "").select(fields.alias("f"))
+    split = lines.filter(F.col("value") != "").select(F.explode(F.array(fields)).alias("f"))
     return split.select(*typed).filter(F.col(first).isNotNull())
 
 

@@ -43,28 +43,28 @@ def _raw_program(k: Column) -> Column:
     return F.when(k % 29 == 0, F.lit("null")).otherwise(F.concat(F.lit("P"), k))
 
 
+def _named(events: DataFrame) -> DataFrame:
+    k = F.col("k")
+    return events.withColumns(
+        {"channel_raw": _raw_channel(k), "program_raw": _raw_program(k)}
+    )
+
+
 def live_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live records (event_id, uid, ts, channel_name, program_name)."""
-    k = F.col("k")
-    return (
-        _events(spark, sf_dir)
-        .filter(F.col("event_type").isin(*VIEWS))
-        .select(
-            "event_id",
-            "uid",
-            "ts",
-            clean_channel(_raw_channel(k)).alias("channel_name"),
-            known_or_mark(_raw_program(k)).alias("program_name"),
-        )
+    views = _events(spark, sf_dir).filter(F.col("event_type").isin(*VIEWS))
+    return _named(views).select(
+        "event_id",
+        "uid",
+        "ts",
+        clean_channel(F.col("channel_raw")).alias("channel_name"),
+        known_or_mark(F.col("program_raw")).alias("program_name"),
     )
 
 
 def raw_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channel and program names as the log has them."""
-    k = F.col("k")
-    return _events(spark, sf_dir).select(
-        "event_id", _raw_channel(k).alias("channel_raw"), _raw_program(k).alias("program_raw")
-    )
+    return _named(_events(spark, sf_dir)).select("event_id", "channel_raw", "program_raw")
 
 
 def power_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ def compare(spark, db, sf_dir: str, name: str):
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    spark = session.build("check", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = session.build("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     db, bad = connect(sf_dir), 0
     for name in names or sorted(entry.queries()):
