@@ -20,6 +20,7 @@ from airwave.functions.calendar import (
     period_key,
     period_start,
     shift_period,
+    week_monday,
 )
 from airwave.functions.ratios import minutes
 
@@ -27,7 +28,7 @@ ACTIVE, PREVIOUS, KNOWN = "active", "previous", "known"
 
 
 def _bounds(grain: Grain, first, last) -> tuple[Column, Column]:
-    ends = (F.lit(str(day)).cast("date") for day in (first, last))
+    ends = (day if isinstance(day, Column) else F.lit(str(day)).cast("date") for day in (first, last))
     start, end = (period_start(grain, day) for day in ends)
     return start, end
 
@@ -46,6 +47,7 @@ def period_summary(
     seed_previous: DataFrame | None = None,
     look_back: bool = False,
     demand: bool = False,
+    own_week: bool = False,
 ) -> DataFrame:
     """One row per period of the calendar from ``first`` to ``last``, empty ones too.
 
@@ -58,11 +60,16 @@ def period_summary(
     ``seed_cover`` holds users who count as reached before the first period and
     ``seed_previous`` those who were active in the period just before it. ``look_back``
     takes the latter from the viewing rows themselves; such users are not reached by that.
+    ``own_week`` takes weeks from the rows' ``week`` key instead of their day, for sources
+    that number weeks in another way.
     """
     spark = viewing.sparkSession
     start, end = _bounds(grain, first, last)
     before, long_before = shift_period(grain, start, -1), shift_period(grain, start, -2)
-    rows = viewing.withColumn("period", period_start(grain, F.col("day")))
+    own = own_week and grain is WEEK
+    rows = viewing.withColumn(
+        "period", week_monday(F.col("week")) if own else period_start(grain, F.col("day"))
+    )
     inside = rows.filter(F.col("period").between(start, end))
 
     request = F.col("flag") if demand else F.lit(False)

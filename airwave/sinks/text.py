@@ -30,8 +30,8 @@ def write_tsv(
 
 def write_sorted_summary(summaries: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Distinct summary rows in order of grain and period (a row per calendar period)."""
-    ordered = summaries.distinct().orderBy("grain", "period")
-    lines = tsv_lines(ordered, decimals=6).coalesce(1)
+    ordered = summaries.distinct().repartition(1).sortWithinPartitions("grain", "period")
+    lines = tsv_lines(ordered, decimals=6)
     lines.write.mode(mode).option("compression", "none").text(path)
 
 
