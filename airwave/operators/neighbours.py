@@ -1,11 +1,12 @@
 """The time of a user's next or previous event, safe for a user with a huge share of rows.
 
-A plain ``lead`` over (user, time) sorts all rows of a user in one task. Here each user's
-time line is cut into hours, and the window runs per (user, hour). What lies beyond an hour
-is the first (or last) time of the user's nearest hour with rows: a grouped minimum per
-(user, hour), so its window per user grows with the calendar and not with the data. The
-rows are shuffled and sorted once; the join back finds them placed by (user, hour), and a
-later sum per user and hour needs no further shuffle.
+``lead`` over (user, time) sorts all rows of a user in one task. That is right for almost
+everybody, so only the time lines of heavy users are cut, into hours: the window runs per
+(user, slot), where the slot is the hour of a heavy user's row and 0 for all other rows.
+What lies beyond a heavy user's hour is the first (or last) time of the nearest hour with
+rows, a grouped minimum per (user, hour); the window over those grows with the calendar and
+not with the data. The rows are shuffled and sorted once, and a later sum per user and hour
+needs no further shuffle if it groups by the slot too.
 """
 
 from __future__ import annotations
@@ -13,35 +14,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+HEAVY_ROWS = 1_000_000
+MOST_HEAVY = 50_000
+
+
+def heavy_users(rows: DataFrame, limit: int = HEAVY_ROWS, by: str = "uid") -> DataFrame:
+    """Users with more than ``limit`` rows and more than 1/50,000 of all rows.
+
+    So there are fewer than 50,000 of them at any scale, which makes the list safe to
+    broadcast. The counts are partial sums before the shuffle.
+    """
+    counts = rows.groupBy(by).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.filter((F.col("_n") > limit) & (F.col("_n") * MOST_HEAVY > total)).select(by)
+
 
 def _with_neighbour(
-    rows: DataFrame, name: str, order: list[str], by: str, ahead: bool
+    rows: DataFrame, name: str, order: list[str], heavy: DataFrame | None, by: str, ahead: bool
 ) -> DataFrame:
-    slot = [by, "day", "hour"]
+    heavy = heavy_users(rows, by=by) if heavy is None else heavy
     step, edge = (F.lead, F.min) if ahead else (F.lag, F.max)
-    rows = rows.withColumns({"day": F.to_date("ts"), "hour": F.hour("ts").cast("int")})
-    inside = Window.partitionBy(*slot).orderBy(*order)
-    across = Window.partitionBy(by).orderBy("day", "hour")
+    key = [by, "slot"]
+
+    marks = F.broadcast(heavy.select(by, F.lit(True).alias("_heavy")))
+    hour = F.floor(F.unix_timestamp("ts") / 3600).cast("int")
+    cut = rows.join(marks, by, "left").withColumn(
+        "slot", F.when(F.col("_heavy"), hour).otherwise(0)
+    )
+    inside = Window.partitionBy(*key).orderBy(*order)
+    across = Window.partitionBy(by).orderBy("slot")
     beyond = (
-        rows.groupBy(*slot)
+        cut.filter("_heavy")
+        .groupBy(*key)
         .agg(edge("ts").alias("_edge"))
-        .select(*slot, step("_edge").over(across).alias("_beyond"))
+        .select(*key, step("_edge").over(across).alias("_beyond"))
     )
-    near = rows.withColumn("_near", step("ts").over(inside))
-    return near.join(beyond, slot, "left").select(
-        *rows.columns, F.coalesce("_near", "_beyond").alias(name)
+    near = cut.drop("_heavy").withColumn("_near", step("ts").over(inside))
+    return near.join(beyond, key, "left").select(
+        *rows.columns, "slot", F.coalesce("_near", "_beyond").alias(name)
     )
 
 
-def with_next(rows: DataFrame, name: str, order: list[str], by: str = "uid") -> DataFrame:
-    """Add ``day``, ``hour`` and the ``ts`` of the same user's following row, null on the last.
+def with_next(
+    rows: DataFrame, name: str, order: list[str], heavy: DataFrame | None = None, by: str = "uid"
+) -> DataFrame:
+    """Add the ``ts`` of the same user's following row, null on the last, and ``slot``.
 
-    ``order`` must begin with ``ts`` and be a total order within a user. Rows are read
-    twice, so they must not depend on chance.
+    ``order`` must begin with ``ts`` and be a total order within a user. ``heavy`` lists the
+    heavy users, for callers that know them already. Rows are read more than once, so they
+    must not depend on chance.
     """
-    return _with_neighbour(rows, name, order, by, ahead=True)
+    return _with_neighbour(rows, name, order, heavy, by, ahead=True)
 
 
-def with_previous(rows: DataFrame, name: str, order: list[str], by: str = "uid") -> DataFrame:
-    """Add ``day``, ``hour`` and the ``ts`` of the same user's preceding row, null on the first."""
-    return _with_neighbour(rows, name, order, by, ahead=False)
+def with_previous(
+    rows: DataFrame, name: str, order: list[str], heavy: DataFrame | None = None, by: str = "uid"
+) -> DataFrame:
+    """Add the ``ts`` of the same user's preceding row, null on the first, and ``slot``."""
+    return _with_neighbour(rows, name, order, heavy, by, ahead=False)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.functions.calendar import month_key, week_key
+from airwave.functions.calendar import month_key, week_key, with_calendar_keys
 from airwave.functions.text import tail_digits
-from airwave.operators.neighbours import with_next, with_previous
+from airwave.operators.neighbours import heavy_users, with_next, with_previous
 
 # The mark of a shutdown record, and the dwell bounds in seconds.
 SHUTDOWN = "_"
@@ -18,7 +18,10 @@ VIEWING_KEYS = ["uid", "month", "week", "day", "hour", "channel_name", "program_
 
 
 def shutdown_times(
-    power: DataFrame, tie: list[str] | None = None, draw: int | None = None
+    power: DataFrame,
+    tie: list[str] | None = None,
+    draw: int | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """One shutdown record per switch-on that follows another power record.
 
@@ -26,10 +29,11 @@ def shutdown_times(
     offset of 0-9 minutes is a hash of user and time, so a rerun or a retried task gives the
     same records; another ``draw`` gives other offsets, as random as they need to be.
 
-    Takes (uid, ts, opens, ``tie`` columns) and keeps the ``tie`` columns.
+    Takes (uid, ts, opens, ``tie`` columns) and keeps the ``tie`` columns. ``heavy`` is the
+    list of heavy users, found from the rows if not given.
     """
     tie = tie or []
-    before = with_previous(power, "off", ["ts", "opens", *tie])
+    before = with_previous(power, "off", ["ts", "opens", *tie], heavy)
     if draw is None:
         seed = F.coalesce(tail_digits(F.col("uid")), F.lit(0)) * 31 + F.unix_timestamp("off")
     else:
@@ -44,15 +48,23 @@ def shutdown_times(
     )
 
 
-def dwell_times(live: DataFrame, shutdowns: DataFrame, tie: list[str] | None = None) -> DataFrame:
+def dwell_times(
+    live: DataFrame,
+    shutdowns: DataFrame,
+    tie: list[str] | None = None,
+    heavy: DataFrame | None = None,
+) -> DataFrame:
     """Seconds from each live record to the user's next record, live or shutdown.
 
     A user's last record has no dwell. Records at the same second order by kind (live
-    first) and then by the ``tie`` columns, by default the names. Adds ``day`` and ``hour``.
+    first) and then by the ``tie`` columns, by default the names. Adds ``slot``, by which
+    the rows are placed (see ``neighbours``). Heavy users, if not given, are those with
+    many live records.
     """
     tie = tie or ["channel_name", "program_name"]
+    heavy = heavy_users(live) if heavy is None else heavy
     stream = live.withColumn("off", F.lit(0)).unionByName(shutdowns.withColumn("off", F.lit(1)))
-    following = with_next(stream, "next_ts", ["ts", "off", *tie])
+    following = with_next(stream, "next_ts", ["ts", "off", *tie], heavy)
     seconds = F.unix_timestamp("next_ts") - F.unix_timestamp("ts")
     return (
         following.filter(F.col("off") == 0)
@@ -62,13 +74,26 @@ def dwell_times(live: DataFrame, shutdowns: DataFrame, tie: list[str] | None = N
     )
 
 
+def viewing_of(
+    live: DataFrame, power: DataFrame, tie: list[str] | None = None
+) -> DataFrame:
+    """Live and power records to hourly viewing; heavy users are found once for both."""
+    heavy = heavy_users(live.select("uid").unionByName(power.select("uid")))
+    off = shutdown_times(power, tie, heavy=heavy)
+    return hourly_viewing(dwell_times(live, off, tie, heavy))
+
+
 def hourly_viewing(dwell: DataFrame) -> DataFrame:
-    """Sum the dwell of a user per start hour, channel and program."""
-    day = F.col("day")
+    """Sum the dwell of a user per start hour, channel and program.
+
+    A slot lies within one hour or holds all rows of a user, so grouping by it as well
+    changes no sum and spares a shuffle.
+    """
     return (
-        dwell.withColumns({"month": month_key(day), "week": week_key(day)})
-        .groupBy(*VIEWING_KEYS)
+        with_calendar_keys(dwell)
+        .groupBy("slot", *VIEWING_KEYS)
         .agg(F.sum("seconds").alias("seconds"))
+        .drop("slot")
     )
 
 

@@ -35,13 +35,8 @@ TIE = ["event_id"]
 
 # Tables that the queries start from.
 
-def live_dwell(spark: SparkSession, d: str) -> DataFrame:
-    off = viewing.shutdown_times(tables.power_log(spark, d), TIE)
-    return viewing.dwell_times(tables.live_log(spark, d), off, TIE)
-
-
 def live_hours(spark: SparkSession, d: str) -> DataFrame:
-    return viewing.hourly_viewing(live_dwell(spark, d))
+    return viewing.viewing_of(tables.live_log(spark, d), tables.power_log(spark, d), TIE)
 
 
 def live_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -136,6 +131,11 @@ def shutdown_times(spark, d):
     return viewing.shutdown_times(tables.power_log(spark, d), TIE)
 
 
+def dwell_time(spark, d):
+    off = viewing.shutdown_times(tables.power_log(spark, d), TIE)
+    return viewing.dwell_times(tables.live_log(spark, d), off, TIE).drop("slot")
+
+
 # Flows.
 
 def live_prepare(grain: Grain, spark, d):
@@ -327,7 +327,7 @@ def _registry() -> dict[str, Query]:
         "route_events": route_events,
         "route_events_sorted": route_events_sorted,
         "shutdown_times": shutdown_times,
-        "dwell_time": live_dwell,
+        "dwell_time": dwell_time,
         "dwell_hourly": live_hours,
         "split_dwell_hours": live_pieces,
         "live_prepare_seeded": live_prepare_seeded,

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from airwave.operators import viewing
+from airwave.operators import neighbours, viewing
 
 T0 = datetime(2016, 4, 1, 10, 0, 0)
 LIVE_TYPE = "uid string, ts timestamp_ntz, channel_name string, program_name string"
@@ -94,8 +94,8 @@ def loop_dwell(rows):
     return sorted(found)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_dwell_equals_a_loop_with_one_user_holding_a_third(spark, seed):
+@pytest.mark.parametrize("seed,limit", [(1, 900), (2, 900), (2, 100_000)])
+def test_dwell_equals_a_loop_with_one_user_holding_a_third(spark, seed, limit):
     draw = random.Random(seed)
     rows = []
     for i in range(3000):
@@ -103,14 +103,31 @@ def test_dwell_equals_a_loop_with_one_user_holding_a_third(spark, seed):
         off = draw.random() < 0.1
         rows.append((uid, draw.randrange(400000), "_" if off else f"C{i}", int(off)))
     data = spark.createDataFrame([(u, at(s), c, "p") for u, s, c, _ in rows], LIVE_TYPE)
+    heavy = neighbours.heavy_users(data, limit)
+    assert [r.uid for r in heavy.collect()] == (["hot"] if limit == 900 else [])
     result = viewing.dwell_times(
-        data.filter("channel_name <> '_'"), data.filter("channel_name = '_'")
+        data.filter("channel_name <> '_'"), data.filter("channel_name = '_'"), heavy=heavy
     )
     got = sorted(
         (r.uid, r.channel_name, int((r.ts - T0).total_seconds()), r.seconds)
         for r in result.collect()
     )
     assert got == loop_dwell(rows)
+    summed = viewing.hourly_viewing(result)
+    assert summed.agg(F.sum("seconds")).first()[0] == sum(r[3] for r in got)
+    keys = ["uid", "day", "hour", "channel_name", "program_name"]
+    assert summed.groupBy(*keys).count().filter("count > 1").isEmpty()
+
+
+def test_shutdowns_of_a_heavy_user(spark):
+    rows = [("7654321", i * 977 + (i % 7) * 5000, i % 3 == 0) for i in range(300)]
+    rows += [("7000000", i * 5000, i % 2 == 0) for i in range(20)]
+    data = power(spark, rows)
+    plain, cut = (
+        sorted(map(tuple, viewing.shutdown_times(data, heavy=neighbours.heavy_users(data, n)).collect()))
+        for n in (10**6, 100)
+    )
+    assert plain == cut and len(plain) > 90
 
 
 def hours(spark, rows):
