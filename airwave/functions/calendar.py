@@ -69,6 +69,15 @@ def week_monday(key: Column) -> Column:
     return F.date_add(first, ((key % 100) - 1).cast("int") * 7)
 
 
+def start_of_key(grain: Grain, key: Column) -> Column:
+    """First day of the period with that key."""
+    if grain is WEEK:
+        return week_monday(key)
+    if grain is MONTH:
+        return F.make_date(F.floor(key / 100).cast("int"), (key % 100).cast("int"), F.lit(1))
+    return key
+
+
 def shift_week(df: DataFrame, n: int, column: str = "week") -> DataFrame:
     """Move every week key by ``n`` weeks, across year ends too."""
     moved = week_key(F.date_add(week_monday(F.col(column)), 7 * n))

@@ -9,8 +9,8 @@ UNKNOWN = "?"
 
 
 def known_or_mark(name: Column) -> Column:
-    """An empty or ``null`` name becomes the unknown mark."""
-    return F.when(name.isNull() | name.isin("", "null"), F.lit(UNKNOWN)).otherwise(name)
+    """An empty or ``null`` name becomes the unknown mark; the result is never null."""
+    return F.coalesce(F.when(~name.isin("", "null"), name), F.lit(UNKNOWN))
 
 
 def clean_channel(name: Column) -> Column:

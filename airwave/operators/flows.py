@@ -20,7 +20,7 @@ from airwave.functions.calendar import (
     period_key,
     period_start,
     shift_period,
-    week_monday,
+    start_of_key,
 )
 from airwave.functions.ratios import minutes
 
@@ -47,7 +47,8 @@ def period_summary(
     seed_previous: DataFrame | None = None,
     look_back: bool = False,
     demand: bool = False,
-    own_week: bool = False,
+    own_key: bool = False,
+    trimmed: bool = False,
 ) -> DataFrame:
     """One row per period of the calendar from ``first`` to ``last``, empty ones too.
 
@@ -60,17 +61,17 @@ def period_summary(
     ``seed_cover`` holds users who count as reached before the first period and
     ``seed_previous`` those who were active in the period just before it. ``look_back``
     takes the latter from the viewing rows themselves; such users are not reached by that.
-    ``own_week`` takes weeks from the rows' ``week`` key instead of their day, for sources
-    that number weeks in another way.
+    ``own_key`` takes periods from the rows' key of the grain instead of their ``day``: for
+    rows summed per period, or for sources that number weeks in another way. ``trimmed``
+    rows all lie in the calendar: no filter is pushed below them, so that a shuffle they
+    come from can be shared with other readers.
     """
     spark = viewing.sparkSession
     start, end = _bounds(grain, first, last)
     before, long_before = shift_period(grain, start, -1), shift_period(grain, start, -2)
-    own = own_week and grain is WEEK
-    rows = viewing.withColumn(
-        "period", week_monday(F.col("week")) if own else period_start(grain, F.col("day"))
-    )
-    inside = rows.filter(F.col("period").between(start, end))
+    period = start_of_key(grain, F.col(grain.name)) if own_key else period_start(grain, F.col("day"))
+    rows = viewing.withColumn("period", period)
+    inside = rows if trimmed else rows.filter(F.col("period").between(start, end))
 
     request = F.col("flag") if demand else F.lit(False)
     parts = [

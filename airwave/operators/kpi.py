@@ -57,7 +57,13 @@ def distinct_requests(viewing: DataFrame, grain: Grain) -> DataFrame:
     return viewing.select(*columns).distinct()
 
 
-def _per_user(viewing: DataFrame, grain: Grain, items: list[str]) -> DataFrame:
+def per_user(viewing: DataFrame, grain: Grain, items: list[str]) -> DataFrame:
+    """Seconds per period, item and user.
+
+    The reports start with this. A caller that needs the same rows for the period summary
+    as well can do it beforehand: Spark then does not shuffle again inside the report, and
+    both readers share the one shuffle.
+    """
     return viewing.groupBy(*grain.keys, *items, "uid").agg(F.sum("seconds").alias("seconds"))
 
 
@@ -139,7 +145,7 @@ def type_report(
     if business is DEMAND:
         counts.append(F.count_distinct(business.item).alias("group_items"))
     grouped = (
-        _per_user(viewing, grain, [business.item])
+        per_user(viewing, grain, [business.item])
         .join(known, business.item)
         .groupBy(*grain.keys, business.kind)
         .agg(*counts)
@@ -167,7 +173,7 @@ def item_report(
     )
     items = [business.item] + (["program_name"] if programs else [])
     grouped = (
-        _per_user(viewing, grain, items)
+        per_user(viewing, grain, items)
         .groupBy(*grain.keys, *items)
         .agg(F.count("uid").alias("group_users"), F.sum("seconds").alias("group_seconds"))
         .join(known, business.item)

@@ -25,7 +25,7 @@ def heavy_users(rows: DataFrame, limit: int = HEAVY_ROWS, by: str = "uid") -> Da
     broadcast. The counts are partial sums before the shuffle.
     """
     counts = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
+    total = rows.agg(F.count("*")).scalar()
     return counts.filter((F.col("_n") > limit) & (F.col("_n") * MOST_HEAVY > total)).select(by)
 
 
@@ -35,6 +35,9 @@ def _with_neighbour(
     heavy = heavy_users(rows, by=by) if heavy is None else heavy
     step, edge = (F.lead, F.min) if ahead else (F.lag, F.max)
     key = [by, "slot"]
+    # Said here because the joins imply it on some branches only, which would keep the
+    # shuffles below them from being shared.
+    rows = rows.filter(F.col(by).isNotNull())
 
     marks = F.broadcast(heavy.select(by, F.lit(True).alias("_heavy")))
     hour = F.floor(F.unix_timestamp("ts") / 3600).cast("int")
@@ -60,7 +63,7 @@ def with_next(
 ) -> DataFrame:
     """Add the ``ts`` of the same user's following row, null on the last, and ``slot``.
 
-    ``order`` must begin with ``ts`` and be a total order within a user. ``heavy`` lists the
+    Rows without a user drop out. ``order`` must begin with ``ts`` and be a total order within a user. ``heavy`` lists the
     heavy users, for callers that know them already. Rows are read more than once, so they
     must not depend on chance.
     """

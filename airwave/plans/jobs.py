@@ -113,7 +113,7 @@ def summarize_demand(spark, viewing: str, users: str, out: str,
         ahead = 7 * DEMAND_WEEKS_AHEAD if grain is WEEK else 0
         days = [F.date_add(F.lit(day).cast("date"), ahead) for day in (first, last)]
         summary = flows.period_summary(
-            rows, grain, *days, seed_cover=base, look_back=True, demand=True, own_week=True
+            rows, grain, *days, seed_cover=base, look_back=True, demand=True, own_key=True
         )
         parts.append(flows.tagged(summary, grain))
     write_sorted_summary(reduce(DataFrame.unionByName, parts), out)

@@ -201,12 +201,14 @@ def live_summary_report(grain: Grain, spark, d):
 
 
 def live_group_report(report, grain: Grain, spark, d, **options):
-    rows = hours = live_hours(spark, d)
+    hours = live_hours(spark, d)
     if grain is HOUR:
         rows = viewing.split_hours(hours)
         totals = kpi.hour_totals(rows, live_summary(hours, DAY))
     else:
-        totals = live_summary(hours, grain)
+        shown = between_keys(hours, "day", *LIVE_DAYS)
+        rows = kpi.per_user(shown, grain, ["channel_name"])
+        totals = flows.period_summary(rows, grain, *LIVE_DAYS, own_key=True, trimmed=True)
     dictionary = tables.channel_dictionary(spark)
     return report(rows, dictionary, totals, grain, kpi.LIVE, **options)
 

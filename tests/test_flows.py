@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airwave.functions.calendar import DAY, MONTH, WEEK
-from airwave.operators import extracts, flows
+from airwave.operators import extracts, flows, kpi
 from airwave.plans import queries
 
 ROWS = "uid string, day date, seconds long, show_name string, flag boolean"
@@ -94,16 +94,25 @@ def test_invariants(spark, sf_dir):
     assert len(final) == 1
 
 
-def test_own_week_follows_the_key(spark):
+def test_own_key(spark):
     rows = spark.createDataFrame([("a", date(2016, 4, 1), 60, 201614)],
                                  "uid string, day date, seconds long, week int")
     days = (date(2016, 4, 4), date(2016, 4, 4))
     own, of_day = (
-        flows.period_summary(rows, WEEK, *days, own_week=own).first() for own in (True, False))
+        flows.period_summary(rows, WEEK, *days, own_key=own).first() for own in (True, False))
     assert (own.week, own.user_num) == (201614, 1)
     assert (of_day.week, of_day.user_num) == (201614, 0)
 
 
+def test_summary_of_rows_summed_per_period(spark, sf_dir):
+    hours = queries.live_hours(spark, sf_dir)
+    for grain in (DAY, WEEK, MONTH):
+        summed = kpi.per_user(hours, grain, ["channel_name"])
+        a, b = (flows.period_summary(r, grain, *queries.LIVE_DAYS, own_key=own)
+                for r, own in ((summed, True), (hours, False)))
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
 def test_moved_users(spark):
     rows = spark.createDataFrame(
         [("a", date(2016, 4, 1)), ("a", date(2016, 4, 2)), ("b", date(2016, 4, 1))],
