@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from airwave.functions.calendar import HOUR, Grain
 from airwave.functions.ratios import minutes, ratio, shown, user_index
+from airwave.operators.skew import lookup
 from airwave.sources.records import unique_dictionary
 
 WEIGHT = 10000
@@ -39,14 +40,8 @@ DEMAND = Business("demand", 2, "show_name", "show_type", "show", ("电影", "电
 
 
 def with_type(viewing: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Left lookup of the type; unknown names get null.
-
-    No broadcast hint: Spark broadcasts the dictionary when it is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive
-    execution splits a hot name on the viewing side of this left join.
-    """
-    unique = unique_dictionary(dictionary)
-    return viewing.join(unique, unique.columns[0], "left")
+    """Left lookup of the type; unknown names get null."""
+    return lookup(viewing, dictionary, "left")
 
 
 def distinct_requests(viewing: DataFrame, grain: Grain) -> DataFrame:
@@ -88,6 +83,13 @@ def request_times(viewing: DataFrame, keys: list[str]) -> DataFrame:
     return viewing.filter("flag").groupBy(*keys).agg(F.count("*").alias("request_times"))
 
 
+def _reported(
+    dictionary: DataFrame, business: Business, kinds: tuple[str, ...] | None
+) -> DataFrame:
+    unique = unique_dictionary(dictionary)
+    return unique.filter(F.col(business.kind).isin(*(kinds or business.kinds)))
+
+
 def _measures(
     grouped: DataFrame,
     totals: DataFrame,
@@ -135,21 +137,15 @@ def type_report(
     weight: float = WEIGHT,
 ) -> DataFrame:
     """KPIs per period and type, for the reported types."""
-    known = unique_dictionary(dictionary).filter(
-        F.col(business.kind).isin(*(kinds or business.kinds))
-    )
+    known = _reported(dictionary, business, kinds)
     counts = [
         F.count_distinct("uid").alias("group_users"),
         F.sum("seconds").alias("group_seconds"),
     ]
     if business is DEMAND:
         counts.append(F.count_distinct(business.item).alias("group_items"))
-    grouped = (
-        per_user(viewing, grain, [business.item])
-        .join(known, business.item)
-        .groupBy(*grain.keys, business.kind)
-        .agg(*counts)
-    )
+    typed = lookup(per_user(viewing, grain, [business.item]), known)
+    grouped = typed.groupBy(*grain.keys, business.kind).agg(*counts)
     return _measures(grouped, totals, grain, business, [business.kind], business.prefix, weight)
 
 
@@ -166,11 +162,9 @@ def item_report(
 ) -> DataFrame:
     """KPIs per period and channel or show; with ``programs`` per channel and program.
 
-    The dictionary joins the grouped rows, one per period and item.
+    The dictionary joins the grouped rows: one per period and item, so no name is hot.
     """
-    known = unique_dictionary(dictionary).filter(
-        F.col(business.kind).isin(*(kinds or business.kinds))
-    )
+    known = _reported(dictionary, business, kinds)
     items = [business.item] + (["program_name"] if programs else [])
     grouped = (
         per_user(viewing, grain, items)

@@ -14,25 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HEAVY_ROWS = 1_000_000
-MOST_HEAVY = 50_000
-
-
-def heavy_users(rows: DataFrame, limit: int = HEAVY_ROWS, by: str = "uid") -> DataFrame:
-    """Users with more than ``limit`` rows and more than 1/50,000 of all rows.
-
-    So there are fewer than 50,000 of them at any scale, which makes the list safe to
-    broadcast. The counts are partial sums before the shuffle.
-    """
-    counts = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    total = rows.agg(F.count("*")).scalar()
-    return counts.filter((F.col("_n") > limit) & (F.col("_n") * MOST_HEAVY > total)).select(by)
+from airwave.operators.skew import heavy_keys
 
 
 def _with_neighbour(
     rows: DataFrame, name: str, order: list[str], heavy: DataFrame | None, by: str, ahead: bool
 ) -> DataFrame:
-    heavy = heavy_users(rows, by=by) if heavy is None else heavy
+    heavy = heavy_keys(rows, by) if heavy is None else heavy
     step, edge = (F.lead, F.min) if ahead else (F.lag, F.max)
     key = [by, "slot"]
     # Said here because the joins imply it on some branches only, which would keep the

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from airwave.functions.calendar import month_key, week_key, with_calendar_keys
 from airwave.functions.text import tail_digits
-from airwave.operators.neighbours import heavy_users, with_next, with_previous
+from airwave.operators.neighbours import with_next, with_previous
+from airwave.operators.skew import heavy_keys
 
 # The mark of a shutdown record, and the dwell bounds in seconds.
 SHUTDOWN = "_"
@@ -62,7 +63,7 @@ def dwell_times(
     many live records.
     """
     tie = tie or ["channel_name", "program_name"]
-    heavy = heavy_users(live) if heavy is None else heavy
+    heavy = heavy_keys(live) if heavy is None else heavy
     stream = live.withColumn("off", F.lit(0)).unionByName(shutdowns.withColumn("off", F.lit(1)))
     following = with_next(stream, "next_ts", ["ts", "off", *tie], heavy)
     seconds = F.unix_timestamp("next_ts") - F.unix_timestamp("ts")
@@ -78,7 +79,7 @@ def viewing_of(
     live: DataFrame, power: DataFrame, tie: list[str] | None = None
 ) -> DataFrame:
     """Live and power records to hourly viewing; heavy users are found once for both."""
-    heavy = heavy_users(live.select("uid").unionByName(power.select("uid")))
+    heavy = heavy_keys(live.select("uid").unionByName(power.select("uid")))
     off = shutdown_times(power, tie, heavy=heavy)
     return hourly_viewing(dwell_times(live, off, tie, heavy))
 

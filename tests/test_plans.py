@@ -2,6 +2,9 @@
 
 import re
 
+from pyspark.sql import functions as F
+
+from airwave.operators import flows, skew
 from airwave.plans import queries
 
 
@@ -52,8 +55,6 @@ def test_windows_per_user_alone_read_grouped_rows(spark, sf_dir):
 
 
 def test_the_three_grains_share_one_shuffle(spark, sf_dir):
-    from airwave.operators import flows
-
     df = flows.all_summaries(queries.live_hours(spark, sf_dir), *queries.LIVE_DAYS)
     assert "ReusedExchange" in final(df)
 
@@ -72,3 +73,22 @@ def test_report_and_summary_share_the_per_user_shuffle(spark, sf_dir):
     windows = plan.count("lead(ts")
     assert windows == 1, plan
     assert "ReusedExchange" in plan
+
+
+def test_hot_names_and_a_large_dictionary(spark):
+    name = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5000))
+    rows = spark.range(60000).select("id", name.alias("show_name"))
+    names = rows.filter("id % 7 > 0").select("show_name", F.lit("film").alias("show_type"))
+    for how in ("inner", "left"):
+        small, large = (
+            skew.lookup(rows, names.distinct(), how, small=n, limit=1000) for n in (10000, 10))
+        assert small.exceptAll(large.select(*small.columns)).isEmpty()
+        assert small.count() == large.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final(large)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Heavy names go through broadcasts; the shuffled join sees the others only.
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert plan.count("BroadcastHashJoin") >= 3 and "LeftAnti" in plan

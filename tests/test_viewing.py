@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from airwave.operators import neighbours, viewing
+from airwave.operators import skew, viewing
 
 T0 = datetime(2016, 4, 1, 10, 0, 0)
 LIVE_TYPE = "uid string, ts timestamp_ntz, channel_name string, program_name string"
@@ -103,7 +103,7 @@ def test_dwell_equals_a_loop_with_one_user_holding_a_third(spark, seed, limit):
         off = draw.random() < 0.1
         rows.append((uid, draw.randrange(400000), "_" if off else f"C{i}", int(off)))
     data = spark.createDataFrame([(u, at(s), c, "p") for u, s, c, _ in rows], LIVE_TYPE)
-    heavy = neighbours.heavy_users(data, limit)
+    heavy = skew.heavy_keys(data, limit=limit)
     assert [r.uid for r in heavy.collect()] == (["hot"] if limit == 900 else [])
     result = viewing.dwell_times(
         data.filter("channel_name <> '_'"), data.filter("channel_name = '_'"), heavy=heavy
@@ -124,7 +124,7 @@ def test_shutdowns_of_a_heavy_user(spark):
     rows += [("7000000", i * 5000, i % 2 == 0) for i in range(20)]
     data = power(spark, rows)
     plain, cut = (
-        sorted(map(tuple, viewing.shutdown_times(data, heavy=neighbours.heavy_users(data, n)).collect()))
+        sorted(map(tuple, viewing.shutdown_times(data, heavy=skew.heavy_keys(data, limit=n)).collect()))
         for n in (10**6, 100)
     )
     assert plain == cut and len(plain) > 90
