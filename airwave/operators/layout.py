@@ -31,7 +31,7 @@ def partition_by_viewer(
     return placed.sortWithinPartitions(*sort) if sort else placed
 
 
-def sorted_for_files(rows: DataFrame, keys: list[str], files: int | None = None) -> DataFrame:
+def sorted_for_files(rows: DataFrame, keys: list[str], files: int = 0) -> DataFrame:
     """Rows in one global order over range partitions, sorted inside each.
 
     All of ``keys`` take part in the ranges, so one user's rows can span partitions.

@@ -1,8 +1,8 @@
 """File-to-file jobs: the whole chain from raw logs to report tables.
 
 Run one with ``python -m airwave.plans.jobs NAME key=value ...``; each function below is a
-job and its arguments are the keys. Intermediate records are gzip text in many files,
-reports are one text file each.
+job and its arguments are the keys. Intermediate records are gzip text, one file per task;
+``files`` shuffles them into that many instead. Reports are one text file each.
 """
 
 from __future__ import annotations
@@ -48,13 +48,16 @@ def _months(first: int, last: int) -> tuple[int, int]:
 
 # Raw logs to viewing records.
 
-def filter_live(spark, raw: str, out: str, files: int = 200,
+def filter_live(spark, raw: str, out: str, files: int = 0, spread: int = 1,
                 first_month: int = clean.FIRST_MONTH, last_month: int = clean.LAST_MONTH) -> None:
+    """With ``files``, viewers are placed by their last digits, each over ``spread`` files."""
     rows = clean.filter_live(_log(spark, raw), _months(first_month, last_month))
-    write_tsv(layout.partition_by_viewer(rows, files), out, gzip=True)
+    if files:
+        rows = layout.partition_by_viewer(rows, files, spread=spread)
+    write_tsv(rows, out, gzip=True)
 
 
-def find_shutdowns(spark, raw: str, out: str, files: int = 50,
+def find_shutdowns(spark, raw: str, out: str, files: int = 0,
                    first_month: int = clean.FIRST_MONTH, last_month: int = clean.LAST_MONTH) -> None:
     rows = clean.filter_power(_log(spark, raw), _months(first_month, last_month))
     write_tsv(views.shutdown_times(rows), out, files=files, gzip=True)
@@ -66,12 +69,12 @@ def _stream(spark: SparkSession, path: str) -> DataFrame:
     return timed.select("uid", "ts", "channel_name", "program_name")
 
 
-def measure_viewing(spark, live: str, shutdowns: str, out: str, files: int = 100) -> None:
+def measure_viewing(spark, live: str, shutdowns: str, out: str, files: int = 0) -> None:
     dwell = views.dwell_times(_stream(spark, live), _stream(spark, shutdowns))
     write_tsv(views.hourly_viewing(dwell), out, files=files, gzip=True)
 
 
-def split_viewing(spark, viewing: str, out: str, files: int = 100) -> None:
+def split_viewing(spark, viewing: str, out: str, files: int = 0) -> None:
     rows = records.read_records(spark, viewing, records.LIVE_VIEWING)
     write_tsv(views.split_hours(rows), out, files=files, gzip=True)
 
@@ -212,7 +215,7 @@ def report_overview_hours(spark, live: str, demand: str, out: str) -> None:
 
 # Extractions.
 
-def route_log(spark, raw: str, out: str, files: int = 100) -> None:
+def route_log(spark, raw: str, out: str, files: int = 0) -> None:
     rows = clean.route_events(_log(spark, raw))
     write_tsv(layout.sorted_for_files(rows, ["key_1", "key_2"], files), out, gzip=True)
 

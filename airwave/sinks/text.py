@@ -11,7 +11,7 @@ def write_tsv(
     df: DataFrame,
     path: str,
     *,
-    files: int | None = None,
+    files: int = 0,
     gzip: bool = False,
     decimals: int = 4,
     mode: str = "errorifexists",
