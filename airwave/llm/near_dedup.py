@@ -23,11 +23,10 @@ empty tables give no rows; other columns are ignored by ``components`` and kept
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch_of, mixed, saved, slices, text_bytes
@@ -40,10 +39,10 @@ TREES, LEVELS, VALUES = 24, 12, 96
 NEIGHBOURS = 4
 MIN_DEPTH = 2
 #: 64 values of 4 bits go along with each row of the forest; two sets of the wanted similarity
-#: agree in at least SKETCH_MATCHES of them but for one pair in 100,000.
-SKETCH_MATCHES = 34
-#: Of the VALUES of full signatures, for pairs in other components.
-SIGNATURE_MATCHES = 55
+#: agree in at least SKETCH_MATCHES of them but for one pair in 10,000.
+SKETCH_MATCHES = 36
+#: From here on a pair is likelier than not to be confirmed.
+LIKELY_MATCHES = 48
 FILTER_BITS = (16, 27)
 
 _rng = np.random.RandomState(7)
@@ -240,13 +239,14 @@ def connected(edges: DataFrame) -> DataFrame:
         return out.where("m < v").distinct()
 
     edges = edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).where("m < v").distinct()
+    before = None
     while True:
         edges = saved(star(star(edges, True), False))
-        # done when every node has one edge and no node is both the small and the large end
-        ends = edges.groupBy("v").agg(F.count("*").alias("n"))
-        roots = edges.select(F.col("m").alias("v")).distinct()
-        if ends.where("n > 1").isEmpty() and ends.join(roots, "v", "left_semi").isEmpty():
+        # distinct edges that are the same as before are stars
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
+        if state == before:
             break
+        before = state
     spread = edges.select(F.col("v").alias("node"), F.col("m").alias("label"))
     return spread.unionByName(edges.select(F.col("m").alias("node"), F.col("m").alias("label")).distinct())
 
@@ -266,10 +266,16 @@ def _best(pairs: DataFrame) -> DataFrame:
     return best.select("p.a", "p.b").distinct()
 
 
-def _pair(a: str, b: str) -> DataFrame:
+def _pair(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _hubs(labels: DataFrame, central: DataFrame) -> DataFrame:
+    """(label, hub): the most central node of each component, ties to the smallest."""
+    hub = F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub")
+    return labels.join(central, "node").groupBy("label").agg(hub)
+
+
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     """(node, label) of all nodes with links; None if no two nodes are near. ``nodes`` are saved."""
     pairs = saved(candidates(nodes))
@@ -278,38 +284,42 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = saved(shingle_sets(docs, nodes.join(ends, "node", "left_semi").select("node", "doc_id", "text_hash")))
 
-    tried = saved(confirmed(_best(pairs), sets))
-    linked = [tried.where("linked").select("a", "b")]
-    labels = saved(connected(linked[0]))
-
-    # weaker members against the hub of the component in which they met one; the hubs found so
-    # are hubs of whole groups, so this goes on while it finds links
-    open_pairs = _labelled(pairs.join(tried, ["a", "b"], "left_anti"), labels)
+    # first the best candidate of each node, and the hub of the group it is likely to be in
+    likely = pairs.where(F.col("agree") >= LIKELY_MATCHES)
+    central = pairs.select(F.explode(F.array("a", "b")).alias("node"), "agree").groupBy("node").agg(F.sum("agree").alias("weight"))
+    central = saved(central)
+    first = _best(pairs)
+    if not likely.isEmpty():
+        groups = saved(connected(likely))
+        to_hub = groups.join(_hubs(groups, central), "label").where("node != hub").select(*_pair("node", "hub"))
+        first = first.unionByName(to_hub).distinct()
+    tried = saved(confirmed(first, sets))
+    linked = tried.where("linked").select("a", "b")
+    labels = saved(connected(linked))
+
+    # a node whose best open candidate is a weaker member of another component, against its hub,
+    # while that finds links: at most two pairs for each open node
     while True:
-        degree = reduce(DataFrame.unionByName, linked).select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
-        hubs = labels.join(degree, "node").groupBy("label").agg(
-            F.max_by("node", F.struct("count", -F.col("node"))).alias("hub")
-        )
-        open_pairs = saved(open_pairs.select("a", "b", "label_a", "label_b"))
-        against = [
-            open_pairs.join(hubs.withColumnRenamed("label", f"label_{y}"), f"label_{y}").select(*_pair(x, "hub"))
+        open_pairs = saved(_labelled(pairs.join(tried, ["a", "b"], "left_anti"), labels))
+        if open_pairs.isEmpty():
+            return labels
+        best = open_pairs.join(_best(open_pairs), ["a", "b"])
+        hubs = _hubs(labels, central)
+        to_hub = [
+            best.join(hubs.withColumnRenamed("label", f"label_{y}"), f"label_{y}").select(*_pair(x, "hub"))
             for x, y in (("a", "b"), ("b", "a"))
         ]
-        hub_pairs = against[0].unionByName(against[1]).where("a != b").distinct().join(tried, ["a", "b"], "left_anti")
-        # hubs may lie outside the pairs met so far, but all are ends of candidates, whose sets are there
-        found = saved(confirmed(hub_pairs, sets))
+        new = to_hub[0].unionByName(to_hub[1]).where("a != b").distinct().join(tried, ["a", "b"], "left_anti")
+        found = saved(confirmed(new, sets))
         tried = tried.unionByName(found)
         if found.where("linked").isEmpty():
             break
-        linked.append(found.where("linked").select("a", "b"))
-        labels = saved(connected(reduce(DataFrame.unionByName, linked)))
-        open_pairs = _labelled(open_pairs.select("a", "b"), labels)
+        linked = linked.unionByName(found.where("linked").select("a", "b"))
+        labels = saved(connected(linked))
 
     rest = open_pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
     last = saved(confirmed(rest, sets)).where("linked").select("a", "b")
-    if last.isEmpty():
-        return labels
-    return connected(reduce(DataFrame.unionByName, [*linked, last]))
+    return labels if last.isEmpty() else connected(linked.unionByName(last))
 
 
 def components(docs: DataFrame) -> DataFrame:

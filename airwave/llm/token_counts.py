@@ -151,6 +151,7 @@ def count_documents(docs: DataFrame, tokenizer_path: str, block: int = BLOCK) ->
         return spark.createDataFrame(
             [], "doc_id long, file string, ordinal long, start long, n_tokens long, complete boolean"
         )
-    return index.join(scan(blocks(spark, folder, block=block)), ["file", "ordinal"]).select(
+    # both sides have a row for each document, which no estimate from the listing shows
+    return index.join(scan(blocks(spark, folder, block=block)).hint("merge"), ["file", "ordinal"]).select(
         "doc_id", "file", "ordinal", "start", "n_tokens", "complete"
     )
