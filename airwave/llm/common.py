@@ -40,6 +40,16 @@ def saved(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def compact(rows: DataFrame, per_part: int) -> DataFrame:
+    """Saved rows in no more partitions than their number asks for, at ``per_part`` rows each.
+
+    Each shuffle of them then has as many map tasks and files as there are rows for.
+    """
+    parts = max(1, -(-rows.count() // per_part))
+    few = parts < int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.coalesce(parts) if few else rows
+
+
 def learnable(doc_id: str = "doc_id") -> Column:
     """Rows that may be learned from: crc32 of the id as text, modulo 5, is not 0."""
     return ~held_out(doc_id)

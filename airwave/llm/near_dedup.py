@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, mixed, saved, slices, text_bytes
+from .common import batch_of, compact, mixed, saved, slices, text_bytes
 from .words import distinct, shingles, words
 
 WIDTH = 5
@@ -44,6 +44,8 @@ SKETCH_MATCHES = 36
 #: From here on a pair is likelier than not to be confirmed.
 LIKELY_MATCHES = 48
 FILTER_BITS = (16, 27)
+#: Rows of a partition of saved edges, pairs and sets.
+EDGES_PER_PART, PAIRS_PER_PART, SETS_PER_PART = 200_000, 20_000, 5_000
 
 _rng = np.random.RandomState(7)
 _A = _rng.randint(0, 2**63 - 1, VALUES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -225,7 +227,7 @@ def connected(edges: DataFrame) -> DataFrame:
     def star(edges: DataFrame, large: bool) -> DataFrame:
         """Edges (v, m) with m < v."""
         if large:
-            both = edges.unionByName(edges.select(F.col("m").alias("v"), F.col("v").alias("m")))
+            both = narrow(edges.unionByName(edges.select(F.col("m").alias("v"), F.col("v").alias("m"))))
         else:
             both = edges
         least = both.groupBy("v").agg(F.min("m").alias("least")).withColumn("least", F.least("least", "v"))
@@ -236,12 +238,19 @@ def connected(edges: DataFrame) -> DataFrame:
             out = joined.select(F.col("m").alias("v"), F.col("least").alias("m")).unionByName(
                 least.select("v", F.col("least").alias("m"))
             )
-        return out.where("m < v").distinct()
+        return narrow(narrow(out.where("m < v")).distinct())
 
-    edges = edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).where("m < v").distinct()
-    before = None
+    edges = saved(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).where("m < v"))
+    parts = max(1, -(-edges.count() // EDGES_PER_PART))
+    few = parts < int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def narrow(rows: DataFrame) -> DataFrame:
+        """Few edges in few partitions, so that shuffles have few files (or none are needed)."""
+        return rows.coalesce(parts) if few else rows
+
+    edges, before = narrow(edges).distinct(), None
     while True:
-        edges = saved(star(star(edges, True), False))
+        edges = narrow(saved(star(star(edges, True), False)))
         # distinct edges that are the same as before are stars
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
         if state == before:
@@ -278,29 +287,30 @@ def _hubs(labels: DataFrame, central: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     """(node, label) of all nodes with links; None if no two nodes are near. ``nodes`` are saved."""
-    pairs = saved(candidates(nodes))
+    pairs = compact(saved(candidates(nodes)), PAIRS_PER_PART)
     if pairs.isEmpty():
         return None
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = saved(shingle_sets(docs, nodes.join(ends, "node", "left_semi").select("node", "doc_id", "text_hash")))
+    sets = compact(sets, SETS_PER_PART)
 
     # first the best candidate of each node, and the hub of the group it is likely to be in
     likely = pairs.where(F.col("agree") >= LIKELY_MATCHES)
     central = pairs.select(F.explode(F.array("a", "b")).alias("node"), "agree").groupBy("node").agg(F.sum("agree").alias("weight"))
-    central = saved(central)
+    central = compact(saved(central), EDGES_PER_PART)
     first = _best(pairs)
     if not likely.isEmpty():
-        groups = saved(connected(likely))
+        groups = compact(saved(connected(likely)), EDGES_PER_PART)
         to_hub = groups.join(_hubs(groups, central), "label").where("node != hub").select(*_pair("node", "hub"))
         first = first.unionByName(to_hub).distinct()
-    tried = saved(confirmed(first, sets))
+    tried = compact(saved(confirmed(first, sets)), PAIRS_PER_PART)
     linked = tried.where("linked").select("a", "b")
-    labels = saved(connected(linked))
+    labels = compact(saved(connected(linked)), EDGES_PER_PART)
 
     # a node whose best open candidate is a weaker member of another component, against its hub,
     # while that finds links: at most two pairs for each open node
     while True:
-        open_pairs = saved(_labelled(pairs.join(tried, ["a", "b"], "left_anti"), labels))
+        open_pairs = compact(saved(_labelled(pairs.join(tried, ["a", "b"], "left_anti"), labels)), PAIRS_PER_PART)
         if open_pairs.isEmpty():
             return labels
         best = open_pairs.join(_best(open_pairs), ["a", "b"])
@@ -310,12 +320,12 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
             for x, y in (("a", "b"), ("b", "a"))
         ]
         new = to_hub[0].unionByName(to_hub[1]).where("a != b").distinct().join(tried, ["a", "b"], "left_anti")
-        found = saved(confirmed(new, sets))
+        found = compact(saved(confirmed(new, sets)), PAIRS_PER_PART)
         tried = tried.unionByName(found)
         if found.where("linked").isEmpty():
             break
         linked = linked.unionByName(found.where("linked").select("a", "b"))
-        labels = saved(connected(linked))
+        labels = compact(saved(connected(linked)), EDGES_PER_PART)
 
     rest = open_pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
     last = saved(confirmed(rest, sets)).where("linked").select("a", "b")
