@@ -66,7 +66,7 @@ def hour_totals(viewing: DataFrame, cover: DataFrame, shows: str | None = None)
     """Users, minutes (and distinct shows) per hour, with the users reached by that day.
 
     ``cover`` has one row per day of the calendar (day, cover_user_num): a bound on its
-    size that does not move with the viewing data, so it is broadcast.
+    size that does not move with the viewing data; the engine broadcasts what it finds small.
     """
     counts = [
         F.count_distinct("uid").alias("user_num"),
@@ -75,7 +75,7 @@ def hour_totals(viewing: DataFrame, cover: DataFrame, shows: str | None = None)
     if shows:
         counts.append(F.count_distinct(shows).alias("all_show_num"))
     totals = viewing.groupBy(*HOUR.keys).agg(*counts)
-    return totals.join(F.broadcast(cover.select("day", "cover_user_num")), "day", "left")
+    return totals.join(cover.select("day", "cover_user_num"), "day", "left")
 
 
 def request_times(viewing: DataFrame, keys: list[str]) -> DataFrame:
@@ -102,9 +102,9 @@ def _measures(
     """Join the period totals and lay out the KPI columns.
 
     ``totals`` has one row per period (at most 24 per day of the calendar), whatever the
-    size of the data: ten years of hours are under 90,000 rows, so it is broadcast.
+    size of the data; the engine broadcasts what it finds small.
     """
-    joined = grouped.join(F.broadcast(totals), list(grain.keys), "left")
+    joined = grouped.join(totals, list(grain.keys), "left")
     mine = minutes(F.col("group_seconds"))
     users, cover = F.col("group_users"), F.col("cover_user_num")
     all_users, all_minutes = F.col("user_num"), F.col("time_in_use")
@@ -234,7 +234,7 @@ def hour_summary_report(
     totals = (
         viewing.groupBy(*HOUR.keys)
         .agg(*counts)
-        .join(F.broadcast(cover.select("day", "cover_user_num")), "day", "left")
+        .join(cover.select("day", "cover_user_num"), "day", "left")
     )
     users, used = F.col("user_num"), minutes(F.col("seconds"))
     if business is DEMAND:

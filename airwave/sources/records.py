@@ -38,30 +38,45 @@ UIDS = (("uid", "string"),)
 PROTOTYPE = {"uid": (0, "string"), "remain_time": (3, "double"), "date": (4, "string"),
              "channel_name": (6, "string"), "time_frame": (7, "int")}
 
+# Numbers that a written line may lack: ratios without a summary row.
+OPTIONAL = ("cover_pct",)
+
 KEY_TYPE = {"day": "date", "week": "int", "month": "int"}
 
 
 def parse_records(lines: DataFrame, layout, separator: str = "\t") -> DataFrame:
     """Typed columns of separated lines.
 
-    A field that does not parse becomes null, and a line without its first field or of
-    blank text is dropped. As in ``parse_raw_log``, a line is split once.
+    A line is dropped if it is blank, cut short, or without its first field or any number or
+    date of the layout (OPTIONAL ones may be missing); ``dropped_lines`` counts those. Text
+    fields may be empty. As in ``parse_raw_log``, a line is split once.
     """
     fields = F.split(F.col("value"), separator)
     typed = [
         F.get("f", F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(layout)
     ]
-    first = layout[0][0]
     split = lines.filter(F.col("value") != "").select(F.explode(F.array(fields)).alias("f"))
-    return split.select(*typed).filter(F.col(first).isNotNull())
+    whole = split.filter(F.size("f") >= len(layout))
+    return whole.select(*typed).dropna(subset=_required(layout))
+
+
+def _required(layout) -> list[str]:
+    """Columns that a line can't be without: the first, and all that aren't text or optional."""
+    rest = [name for name, kind in layout[1:] if kind != "string" and name not in OPTIONAL]
+    return [layout[0][0], *rest]
+
+
+def dropped_lines(lines: DataFrame, layout, separator: str = "\t") -> int:
+    """How many lines that aren't blank ``parse_records`` drops."""
+    return lines.filter(F.col("value") != "").count() - parse_records(lines, layout, separator).count()
 
 
 def parse_prototype(lines: DataFrame) -> DataFrame:
-    """Columns of the space-separated prototype log."""
+    """Columns of the space-separated prototype log; lines with an unreadable field are dropped."""
     split = lines.filter(F.col("value") != "").select(F.split("value", " ").alias("f"))
     return split.select(
         *[F.get("f", F.lit(i)).try_cast(kind).alias(n) for n, (i, kind) in PROTOTYPE.items()]
-    )
+    ).dropna()
 
 
 def read_records(spark: SparkSession, path: str, layout) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Compare every registered query with its SQL: python tests/check_oracle.py SF_DIR [name ...]."""
+"""Compare every registered query with its SQL: python tests/oracle_check.py SF_DIR [name ...]."""
 
 import sys
 import time
