@@ -60,6 +60,8 @@ def channel_by_frame(log: DataFrame, dictionary: DataFrame) -> DataFrame:
     base = log.groupBy(*frame, "channel_name", "uid").agg(
         F.sum("remain_time").alias("used"), F.count("remain_time").alias("n")
     )
+    # Drops nothing: the totals do not need n, but must ask for it to read the same shuffle.
+    base = base.filter("n >= 0")
     channels = base.groupBy(*frame, "channel_name").agg(
         (F.sum("used") / F.sum("n")).alias("time_use_avg"),
         F.sum("used").alias("time_use_sum"),

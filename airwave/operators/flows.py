@@ -49,6 +49,7 @@ def period_summary(
     demand: bool = False,
     own_key: bool = False,
     trimmed: bool = False,
+    counted: bool = False,
 ) -> DataFrame:
     """One row per period of the calendar from ``first`` to ``last``, empty ones too.
 
@@ -64,7 +65,8 @@ def period_summary(
     ``own_key`` takes periods from the rows' key of the grain instead of their ``day``: for
     rows summed per period, or for sources that number weeks in another way. ``trimmed``
     rows all lie in the calendar: no filter is pushed below them, so that a shuffle they
-    come from can be shared with other readers.
+    come from can be shared with other readers. ``counted`` rows stand for ``n`` equal rows
+    each, ``n_flagged`` of them with the flag (see ``kpi.counted_requests``).
     """
     spark = viewing.sparkSession
     start, end = _bounds(grain, first, last)
@@ -73,11 +75,15 @@ def period_summary(
     rows = viewing.withColumn("period", period)
     inside = rows if trimmed else rows.filter(F.col("period").between(start, end))
 
-    request = F.col("flag") if demand else F.lit(False)
+    seconds, requests = F.sum("seconds"), F.lit(0).cast("long")
+    if counted:
+        seconds, requests = F.sum(F.col("seconds") * F.col("n")), F.sum("n_flagged")
+    elif demand:
+        requests = F.count_if("flag")
     parts = [
         inside.groupBy("uid", "period").agg(
-            F.sum("seconds").alias("seconds"),
-            F.count_if(request).alias("requests"),
+            seconds.alias("seconds"),
+            requests.alias("requests"),
             F.lit(ACTIVE).alias("role"),
         )
     ]

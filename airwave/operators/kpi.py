@@ -41,7 +41,8 @@ DEMAND = Business("demand", 2, "show_name", "show_type", "show", ("电影", "电
 
 def with_type(viewing: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Left lookup of the type; unknown names get null."""
-    return lookup(viewing, dictionary, "left")
+    spread = "uid" if "uid" in viewing.columns else None
+    return lookup(viewing, unique_dictionary(dictionary), "left", spread)
 
 
 def distinct_requests(viewing: DataFrame, grain: Grain) -> DataFrame:
@@ -52,6 +53,17 @@ def distinct_requests(viewing: DataFrame, grain: Grain) -> DataFrame:
     return viewing.select(*columns).distinct()
 
 
+def counted_requests(viewing: DataFrame, grain: Grain) -> DataFrame:
+    """The distinct requests of a period, with their number of rows and of flagged rows.
+
+    Report, flows and show counts all read these rows. The filter drops nothing: it makes each
+    reader ask for both counts, since readers of other columns could not share the shuffle.
+    """
+    columns = ["uid", *grain.keys, "seconds", "show_name"]
+    counts = [F.count("*").alias("n"), F.count_if("flag").alias("n_flagged")]
+    return viewing.groupBy(*columns).agg(*counts).filter("n >= n_flagged")
+
+
 def per_user(viewing: DataFrame, grain: Grain, items: list[str]) -> DataFrame:
     """Seconds per period, item and user.
 

@@ -5,43 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.sources.records import unique_dictionary
-
 HEAVY_ROWS = 1_000_000
 MOST_HEAVY = 50_000
-SMALL_DICTIONARY = 200_000
+#: Parts that the rows of one name are dealt to.
+NAME_PARTS = 8
 
 
 def heavy_keys(rows: DataFrame, by: str = "uid", limit: int = HEAVY_ROWS) -> DataFrame:
     """Keys with more than ``limit`` rows and more than 1/50,000 of all rows.
 
     So there are fewer than 50,000 of them at any scale, which makes the list safe to
-    broadcast. The counts are partial sums before the shuffle.
+    broadcast. The counts are partial sums before the shuffle, and their sum reads that shuffle.
     """
     counts = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    total = rows.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("_n")).scalar()
     return counts.filter((F.col("_n") > limit) & (F.col("_n") * MOST_HEAVY > total)).select(by)
 
 
 def lookup(
-    rows: DataFrame,
-    dictionary: DataFrame,
-    how: str = "inner",
-    small: int = SMALL_DICTIONARY,
-    limit: int = HEAVY_ROWS,
+    rows: DataFrame, unique: DataFrame, how: str = "inner", spread: str | None = "uid"
 ) -> DataFrame:
-    """Add the type of each row's name.
+    """Add the type of each row's name from a dictionary with one row per name.
 
-    A dictionary of at most ``small`` rows, counted first, is broadcast. With a larger one,
-    rows of heavy names meet the broadcast entries of those names alone, and all other
-    rows are joined by a shuffle in which no name is heavy.
+    One plan at every size: a hash of ``spread`` deals the rows of a name to NAME_PARTS parts,
+    and each entry meets all of them, so that a name with a large share of the rows is not one
+    task. Whether the entries are broadcast is left to adaptive execution. Without ``spread``
+    (rows of which no name has many) it is a plain join.
     """
-    unique = unique_dictionary(dictionary)
     name = unique.columns[0]
-    if dictionary.limit(small + 1).count() <= small:
-        return rows.join(F.broadcast(unique), name, how)
-    heavy = F.broadcast(heavy_keys(rows, name, limit))
-    entries = F.broadcast(unique.join(heavy, name, "left_semi"))
-    hot = rows.join(heavy, name, "left_semi").join(entries, name, how)
-    others = rows.join(heavy, name, "left_anti").join(unique, name, how)
-    return hot.unionByName(others)
+    if spread is None:
+        return rows.join(unique, name, how)
+    parts = F.explode(F.sequence(F.lit(0), F.lit(NAME_PARTS - 1)))
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(NAME_PARTS)).cast("int"))
+    return dealt.join(unique.withColumn("_part", parts), [name, "_part"], how).drop("_part")

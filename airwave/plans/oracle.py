@@ -9,8 +9,8 @@ from __future__ import annotations
 from airwave.functions.calendar import GRAINS
 from airwave.sources.logs import HEARTBEAT, KEY_FIELDS, LIVE, OPEN
 
-LIVE_DAYS = ("2024-01-01", "2024-01-30")
-DEMAND_DAYS = ("1995-01-01", "2001-08-01")
+LIVE_DAYS = tuple(f"(SELECT CAST({f}(ts) AS DATE) FROM events)" for f in ("min", "max"))
+DEMAND_DAYS = tuple(f"(SELECT CAST({f}(o_orderdate) AS DATE) FROM orders)" for f in ("min", "max"))
 
 CHANNEL_RAW = (
     "CASE WHEN k % 17 = 0 THEN '' ELSE 'CH' || (k % 20) "
@@ -157,7 +157,7 @@ def flow(
 ) -> str:
     """CTEs ending in ``name``: one row per calendar period, keyed by the grain."""
     n, step = name, f"INTERVAL 1 {grain}"
-    first, last = (start_of(grain, f"DATE '{day}'") for day in days)
+    first, last = (start_of(grain, day) for day in days)
     back = f" UNION SELECT uid FROM {n}_all WHERE p = {first} - {step}" if look_back else ""
     extra = ", CAST(count_if(flag) AS BIGINT) AS request_times, count(DISTINCT show_name) AS shows" if demand else ""
     outer = ", coalesce(request_times, 0) AS request_times" if demand else ""
@@ -377,13 +377,13 @@ parsed AS (SELECT f[1] AS code, f[2] AS time_text, f[3] AS uid, f[8] AS channel_
 
 SOUND = (
     "length(time_text) = 14 AND length(uid) > 6 "
-    "AND TRY_CAST(left(time_text, 6) AS INTEGER) BETWEEN 202401 AND 202401"
+    f"AND TRY_CAST(left(time_text, 6) AS INTEGER) BETWEEN {month_of(LIVE_DAYS[0])} AND {month_of(LIVE_DAYS[1])}"
 )
 LOG_TIME = text("strptime(time_text, '%Y%m%d%H%M%S')")
 
 
 def routed() -> str:
-    codes = sorted(code for group in KEY_FIELDS.values() for code in group.split())
+    codes = sorted(code for group in KEY_FIELDS.values() for code in group)
     codes.append("0301|9999|99")
     listed = ", ".join(f"'{c}'" for c in codes)
     fields = " || ';' || ".join(
@@ -391,7 +391,7 @@ def routed() -> str:
     )
     branches = " ".join(
         "WHEN f[1] IN ({}) THEN [f[{}], f[{}]]".format(
-            ", ".join(f"'{c}'" for c in group.split()), first + 1, second + 1
+            ", ".join(f"'{c}'" for c in group), first + 1, second + 1
         )
         for (first, second), group in KEY_FIELDS.items()
     )
@@ -418,7 +418,7 @@ def prepared(grain: str) -> str:
 def oracle_sql() -> dict[str, str]:
     moved = """SELECT CAST(day AS VARCHAR) AS day, count(*) AS {name} FROM (
   SELECT DISTINCT day + {a} AS day, uid FROM hours EXCEPT SELECT day + {b} AS day, uid FROM hours)
- WHERE day <= DATE '{last}' GROUP BY 1"""
+ WHERE day <= {last} GROUP BY 1"""
     sql = {
         "parse_raw_log": with_(f"{EV}, {PARSED}", "SELECT * FROM parsed"),
         "scan_live": with_(LIVE_ALL, hours_text().replace("uid,", f"{text('uid')} AS uid,")),
@@ -486,7 +486,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "demand_prepare_look_back": with_(
             f"{DEMAND_ROWS}, {BASE}, " + flow(
-                "demand", "month", ("1995-12-01", "1997-02-28"), cover="SELECT uid FROM base",
+                "demand", "month", ("DATE '1995-12-01'", DEMAND_DAYS[1]), cover="SELECT uid FROM base",
                 look_back=True, demand=True,
             ),
             select_tagged("month", demand=True),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airwave.functions.calendar import (
@@ -16,6 +16,7 @@ from airwave.functions.calendar import (
     WEEK,
     Grain,
     between_keys,
+    month_key,
     shift_week,
     with_calendar_keys,
 )
@@ -25,14 +26,24 @@ from airwave.sources import logs, records, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Days that the check tables cover, and the months of their log.
-LIVE_DAYS = ("2024-01-01", "2024-01-30")
-DEMAND_DAYS = ("1995-01-01", "2001-08-01")
-LOG_MONTHS = (202401, 202401)
-
 TIE = ["event_id"]
 
 
+# Calendars: from the first to the last day of the tables' own times.
+
+def live_days(spark: SparkSession, d: str) -> tuple[Column, Column]:
+    return tables.first_and_last(spark, d, "events", "ts")
+
+
+def demand_days(spark: SparkSession, d: str) -> tuple[Column, Column]:
+    return tables.first_and_last(spark, d, "orders", "o_orderdate")
+
+
+def log_months(spark: SparkSession, d: str) -> tuple[Column, Column]:
+    first, last = live_days(spark, d)
+    return month_key(first), month_key(last)
+
+
 # Tables that the queries start from.
 
 def live_hours(spark: SparkSession, d: str) -> DataFrame:
@@ -47,18 +58,32 @@ def parsed_log(spark: SparkSession, d: str) -> DataFrame:
     return logs.parse_raw_log(tables.raw_log_lines(spark, d))
 
 
-def live_summary(hours: DataFrame, grain: Grain) -> DataFrame:
-    return flows.period_summary(hours, grain, *LIVE_DAYS)
+def live_summary(spark: SparkSession, d: str, hours: DataFrame, grain: Grain) -> DataFrame:
+    return flows.period_summary(hours, grain, *live_days(spark, d), trimmed=True)
 
 
-def demand_summary(rows: DataFrame, base: DataFrame, grain: Grain) -> DataFrame:
+def demand_requests(spark: SparkSession, d: str, grain: Grain) -> DataFrame:
+    return kpi.counted_requests(tables.demand_viewing(spark, d), grain)
+
+
+def demand_summary(spark: SparkSession, d: str, requests: DataFrame, grain: Grain) -> DataFrame:
+    return flows.period_summary(
+        requests, grain, *demand_days(spark, d), seed_cover=tables.base_users(spark, d),
+        look_back=True, demand=True, own_key=True, trimmed=True, counted=True,
+    )
+
+
+def demand_hour_summary(spark: SparkSession, d: str, grain: Grain) -> DataFrame:
+    requests = kpi.counted_requests(tables.demand_hours(spark, d), grain)
     return flows.period_summary(
-        rows, grain, *DEMAND_DAYS, seed_cover=base, look_back=True, demand=True
+        requests, grain, *live_days(spark, d), demand=True,
+        own_key=True, trimmed=True, counted=True,
     )
 
 
-def demand_hour_summary(rows: DataFrame, grain: Grain) -> DataFrame:
-    return flows.period_summary(rows, grain, *LIVE_DAYS, demand=True)
+def demand_hour_cover(spark: SparkSession, d: str, seen: DataFrame) -> DataFrame:
+    """Users reached by each day; the distinct requests of the hours tell them."""
+    return flows.period_summary(seen, DAY, *live_days(spark, d), trimmed=True)
 
 
 # Scans.
@@ -78,23 +103,23 @@ def scan_demand(spark, d):
 
 
 def scan_summary_grain(spark, d):
-    summaries = flows.all_summaries(live_hours(spark, d), *LIVE_DAYS)
-    lines = tsv_lines(summaries, decimals=6)
+    summary = flows.tagged(live_summary(spark, d, live_hours(spark, d), WEEK), WEEK)
+    lines = tsv_lines(summary, decimals=6)
     return records.summary_of(records.parse_records(lines, records.LIVE_SUMMARY), "week")
 
 
 # Filters and keys.
 
 def filter_live(spark, d):
-    return clean.filter_live(parsed_log(spark, d), LOG_MONTHS)
+    return clean.filter_live(parsed_log(spark, d), log_months(spark, d))
 
 
 def filter_power_events(spark, d):
-    return clean.filter_power(parsed_log(spark, d), LOG_MONTHS)
+    return clean.filter_power(parsed_log(spark, d), log_months(spark, d))
 
 
 def monthly_users_filtered(spark, d):
-    return clean.monthly_users(parsed_log(spark, d), LOG_MONTHS)
+    return clean.monthly_users(parsed_log(spark, d), log_months(spark, d))
 
 
 def filter_period_range(spark, d):
@@ -139,19 +164,18 @@ def dwell_time(spark, d):
 # Flows.
 
 def live_prepare(grain: Grain, spark, d):
-    return flows.tagged(live_summary(live_hours(spark, d), grain), grain)
+    return flows.tagged(live_summary(spark, d, live_hours(spark, d), grain), grain)
 
 
 def demand_prepare(grain: Grain, spark, d):
-    rows, base = tables.demand_viewing(spark, d), tables.base_users(spark, d)
-    return flows.tagged(demand_summary(rows, base, grain), grain)
+    return flows.tagged(demand_summary(spark, d, demand_requests(spark, d, grain), grain), grain)
 
 
 def live_prepare_seeded(spark, d, grain: Grain = DAY):
     base = tables.base_users(spark, d)
     return flows.tagged(
         flows.period_summary(
-            live_hours(spark, d), grain, *LIVE_DAYS,
+            live_hours(spark, d), grain, *live_days(spark, d), trimmed=True,
             seed_cover=base, seed_previous=extracts.least_users(base, 20),
         ),
         grain,
@@ -161,15 +185,16 @@ def live_prepare_seeded(spark, d, grain: Grain = DAY):
 def demand_prepare_look_back(spark, d):
     return flows.tagged(
         flows.period_summary(
-            tables.demand_viewing(spark, d), MONTH, "1995-12-01", "1997-02-28",
+            demand_requests(spark, d, MONTH), MONTH, "1995-12-01", demand_days(spark, d)[1],
             seed_cover=tables.base_users(spark, d), look_back=True, demand=True,
+            own_key=True, counted=True,
         ),
         MONTH,
     )
 
 
 def cover_users_day(spark, d):
-    return live_summary(live_hours(spark, d), DAY).select("day", "cover_user_num")
+    return live_summary(spark, d, live_hours(spark, d), DAY).select("day", "cover_user_num")
 
 
 def users_by_period(spark, d):
@@ -184,7 +209,7 @@ def moved_in_day(spark, d, entering: bool = True):
     name = "user_in_num" if entering else "user_out_num"
     moved = flows.moved_users(live_hours(spark, d), DAY, entering=entering)
     return (
-        moved.filter(F.col("day") <= F.lit(LIVE_DAYS[1]).cast("date"))
+        moved.filter(F.col("day") <= live_days(spark, d)[1])
         .groupBy("day")
         .agg(F.count("*").alias(name))
     )
@@ -195,20 +220,21 @@ def moved_in_day(spark, d, entering: bool = True):
 def live_summary_report(grain: Grain, spark, d):
     hours = live_hours(spark, d)
     if grain is HOUR:
-        cover = live_summary(hours, DAY)
+        cover = live_summary(spark, d, hours, DAY)
         return kpi.hour_summary_report(viewing.split_hours(hours), cover, kpi.LIVE)
-    return kpi.summary_report(live_summary(hours, grain), grain, kpi.LIVE)
+    return kpi.summary_report(live_summary(spark, d, hours, grain), grain, kpi.LIVE)
 
 
 def live_group_report(report, grain: Grain, spark, d, **options):
     hours = live_hours(spark, d)
     if grain is HOUR:
         rows = viewing.split_hours(hours)
-        totals = kpi.hour_totals(rows, live_summary(hours, DAY))
+        totals = kpi.hour_totals(rows, live_summary(spark, d, hours, DAY))
     else:
-        shown = between_keys(hours, "day", *LIVE_DAYS)
-        rows = kpi.per_user(shown, grain, ["channel_name"])
-        totals = flows.period_summary(rows, grain, *LIVE_DAYS, own_key=True, trimmed=True)
+        rows = kpi.per_user(hours, grain, ["channel_name"])
+        totals = flows.period_summary(
+            rows, grain, *live_days(spark, d), own_key=True, trimmed=True
+        )
     dictionary = tables.channel_dictionary(spark)
     return report(rows, dictionary, totals, grain, kpi.LIVE, **options)
 
@@ -226,24 +252,22 @@ def enrich_type(spark, d):
 
 def demand_summary_report(grain: Grain, spark, d):
     if grain is HOUR:
-        rows = tables.demand_hours(spark, d)
-        cover = demand_hour_summary(rows, DAY)
-        return kpi.hour_summary_report(kpi.distinct_requests(rows, HOUR), cover, kpi.DEMAND)
-    rows, base = tables.demand_viewing(spark, d), tables.base_users(spark, d)
-    return kpi.summary_report(demand_summary(rows, base, grain), grain, kpi.DEMAND)
+        seen = kpi.distinct_requests(tables.demand_hours(spark, d), HOUR)
+        return kpi.hour_summary_report(seen, demand_hour_cover(spark, d, seen), kpi.DEMAND)
+    summary = demand_summary(spark, d, demand_requests(spark, d, grain), grain)
+    return kpi.summary_report(summary, grain, kpi.DEMAND)
 
 
 def demand_group_report(report, grain: Grain, spark, d):
     if grain is HOUR:
-        rows = tables.demand_hours(spark, d)
-        seen = kpi.distinct_requests(rows, HOUR)
-        totals = kpi.hour_totals(seen, demand_hour_summary(rows, DAY), shows="show_name")
+        seen = kpi.distinct_requests(tables.demand_hours(spark, d), HOUR)
+        totals = kpi.hour_totals(seen, demand_hour_cover(spark, d, seen), shows="show_name")
         return report(seen, tables.hour_show_dictionary(spark), totals, grain, kpi.DEMAND)
-    rows, base = tables.demand_viewing(spark, d), tables.base_users(spark, d)
+    requests = demand_requests(spark, d, grain)
     return report(
-        kpi.distinct_requests(rows, grain),
+        requests,
         tables.show_dictionary(spark, d),
-        demand_summary(rows, base, grain),
+        demand_summary(spark, d, requests, grain),
         grain,
         kpi.DEMAND,
         kinds=tables.PART_TYPES,
@@ -270,10 +294,12 @@ def overview_of(grain: Grain, spark, d):
         return overview.hour_overview_report(
             live_summary_report(HOUR, spark, d), demand_summary_report(HOUR, spark, d)
         )
-    demand = demand_hour_summary(tables.demand_hours(spark, d), grain)
+    demand = demand_hour_summary(spark, d, grain)
     if grain is WEEK:
         demand = shift_week(demand, 1)
-    return overview.overview_report(live_summary(live_hours(spark, d), grain), demand, grain)
+    return overview.overview_report(
+        live_summary(spark, d, live_hours(spark, d), grain), demand, grain
+    )
 
 
 # Extractions and layout.

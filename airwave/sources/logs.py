@@ -12,28 +12,33 @@ LIVE = "0201|0999|01"
 
 # Event code -> (position of the first key field, of the second).
 KEY_FIELDS = {
-    (1, 2): (
-        "0301|0204|03 "
-        "0301|0305|01 0301|0305|02 0301|0305|05 0301|0305|06 0301|0305|07 0301|0305|08 "
-        "0301|0305|09 0301|0305|10 0301|0305|11 0301|0305|12 0301|0305|13 0301|0305|14 "
-        "0301|0305|15 0301|0305|17 0301|0305|18 0301|0305|19 "
-        "0301|0306|04 0301|0306|05"
-    ),
-    (1, 3): (
-        "0301|0305|20 0301|0305|21 0301|0305|22 0301|0306|02 0301|0306|03 "
-        "0301|1111|05 0301|1112|05"
-    ),
-    (1, 4): (
-        "0301|1111|01 0301|1111|02 0301|1111|03 "
-        "0301|1112|01 0301|1112|02 0301|1112|03"
-    ),
-    (1, 5): "0301|0204|02 0301|0508|01 0301|1111|04 0301|1112|04",
-    (1, 6): "0301|0204|04",
-    (1, 8): "0301|0306|01",
-    (2, 1): (
-        "0301|1010|01 0301|1010|02 0301|1010|03 0301|1010|05 0301|1010|06 "
-        "0301|1010|07 0301|1010|08 0301|1010|09 0301|1010|10 0301|1010|11"
-    ),
+    (1, 2): [
+        "0301|0204|03", "0301|0305|01", "0301|0305|02", "0301|0305|05", "0301|0305|06",
+        "0301|0305|07", "0301|0305|08", "0301|0305|09", "0301|0305|10", "0301|0305|11",
+        "0301|0305|12", "0301|0305|13", "0301|0305|14", "0301|0305|15", "0301|0305|17",
+        "0301|0305|18", "0301|0305|19", "0301|0306|04", "0301|0306|05",
+    ],
+    (1, 3): [
+        "0301|0305|20", "0301|0305|21", "0301|0305|22", "0301|0306|02", "0301|0306|03",
+        "0301|1111|05", "0301|1112|05",
+    ],
+    (1, 4): [
+        "0301|1111|01", "0301|1111|02", "0301|1111|03", "0301|1112|01", "0301|1112|02",
+        "0301|1112|03",
+    ],
+    (1, 5): [
+        "0301|0204|02", "0301|0508|01", "0301|1111|04", "0301|1112|04",
+    ],
+    (1, 6): [
+        "0301|0204|04",
+    ],
+    (1, 8): [
+        "0301|0306|01",
+    ],
+    (2, 1): [
+        "0301|1010|01", "0301|1010|02", "0301|1010|03", "0301|1010|05", "0301|1010|06",
+        "0301|1010|07", "0301|1010|08", "0301|1010|09", "0301|1010|10", "0301|1010|11",
+    ],
 }
 
 
@@ -76,6 +81,6 @@ def key_positions(spark: SparkSession) -> DataFrame:
     rows = [
         (code, first, second)
         for (first, second), codes in KEY_FIELDS.items()
-        for code in codes.split()
+        for code in codes
     ]
     return spark.createDataFrame(rows, "code string, first int, second int")

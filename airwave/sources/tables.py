@@ -23,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def first_and_last(spark: SparkSession, sf_dir: str, name: str, time: str) -> tuple[Column, Column]:
+    """The first and the last day of a table's times: a scan of that one column, aggregated."""
+    days = table(spark, sf_dir, name).agg(
+        F.min(time).cast("date").alias("first"), F.max(time).cast("date").alias("last")
+    )
+    return days.select("first").scalar(), days.select("last").scalar()
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -92,7 +100,7 @@ def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def routed_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of many event codes; the fields differ by position, some are 0 or empty."""
     k = F.col("k")
-    codes = sorted(code for group in KEY_FIELDS.values() for code in group.split())
+    codes = sorted(code for group in KEY_FIELDS.values() for code in group)
     codes.append("0301|9999|99")
     code = F.get(F.array(*[F.lit(c) for c in codes]), k % len(codes))
     fields = [code, *[(F.col("uid") * 10 + i) * F.when((k + i) % 11 == 0, 0).otherwise(1)

@@ -82,7 +82,7 @@ def test_summary_equals_sets(spark, grain, look_back, seeded):
 
 
 def test_invariants(spark, sf_dir):
-    table = flows.all_summaries(queries.live_hours(spark, sf_dir), *queries.LIVE_DAYS)
+    table = flows.all_summaries(queries.live_hours(spark, sf_dir), *queries.live_days(spark, sf_dir))
     rows = table.orderBy("grain", "period").collect()
     final = set()
     for grain in ("day", "week", "month"):
@@ -108,7 +108,7 @@ def test_summary_of_rows_summed_per_period(spark, sf_dir):
     hours = queries.live_hours(spark, sf_dir)
     for grain in (DAY, WEEK, MONTH):
         summed = kpi.per_user(hours, grain, ["channel_name"])
-        a, b = (flows.period_summary(r, grain, *queries.LIVE_DAYS, own_key=own)
+        a, b = (flows.period_summary(r, grain, *queries.live_days(spark, sf_dir), own_key=own)
                 for r, own in ((summed, True), (hours, False)))
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 

@@ -55,7 +55,7 @@ def test_windows_per_user_alone_read_grouped_rows(spark, sf_dir):
 
 
 def test_the_three_grains_share_one_shuffle(spark, sf_dir):
-    df = flows.all_summaries(queries.live_hours(spark, sf_dir), *queries.LIVE_DAYS)
+    df = flows.all_summaries(queries.live_hours(spark, sf_dir), *queries.live_days(spark, sf_dir))
     assert "ReusedExchange" in final(df)
 
 
@@ -78,17 +78,51 @@ def test_report_and_summary_share_the_per_user_shuffle(spark, sf_dir):
 def test_hot_names_and_a_large_dictionary(spark):
     name = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5000))
     rows = spark.range(60000).select("id", name.alias("show_name"))
-    names = rows.filter("id % 7 > 0").select("show_name", F.lit("film").alias("show_type"))
+    names = rows.filter("id % 7 > 0").select("show_name", F.lit("film").alias("show_type")).distinct()
     for how in ("inner", "left"):
-        small, large = (
-            skew.lookup(rows, names.distinct(), how, small=n, limit=1000) for n in (10000, 10))
-        assert small.exceptAll(large.select(*small.columns)).isEmpty()
-        assert small.count() == large.count()
+        plain, dealt = (skew.lookup(rows, names, how, spread=s) for s in (None, "id"))
+        assert plain.exceptAll(dealt.select(*plain.columns)).isEmpty()
+        assert plain.count() == dealt.count()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = final(large)
+        plan = final(dealt)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Heavy names go through broadcasts; the shuffled join sees the others only.
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-    assert plan.count("BroadcastHashJoin") >= 3 and "LeftAnti" in plan
+    assert "hashpartitioning(show_name" in plan and "_part" in plan
+    hot = F.pmod(F.xxhash64("id"), F.lit(skew.NAME_PARTS))
+    shares = rows.filter("show_name = 'hot'").groupBy(hot).count().agg(F.count("*"), F.max("count")).first()
+    assert shares[0] == skew.NAME_PARTS and shares[1] < 1.2 * 20000 / skew.NAME_PARTS
+
+
+def jobs_of(spark, build):
+    """How many jobs run while ``build`` is called."""
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, group)
+    before = len(tracker.getJobIdsForGroup(group))
+    build()
+    return len(tracker.getJobIdsForGroup(group)) - before
+
+
+def test_building_a_report_runs_no_query(spark, sf_dir):
+    def read():
+        for name in ("lineitem", "orders", "customer", "part"):
+            spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    def reads():
+        return jobs_of(spark, lambda: queries.QUERIES["demand_type_month"](spark, sf_dir))
+
+    # Each read of a table looks up its schema: one job, and orders is read for its days too.
+    assert jobs_of(spark, read) == 4 and reads() <= 6
+
+
+def test_demand_reports_read_the_facts_once(spark, sf_dir):
+    for name in ("demand_show_day", "demand_type_month", "demand_summary_week", "demand_prepare_day"):
+        plan = executed(spark, sf_dir, name)
+        assert len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", plan)) == 1, name
+        assert "ReusedExchange" in plan, name
+
+
+def test_frame_totals_share_the_shuffle(spark, sf_dir):
+    plan = executed(spark, sf_dir, "all_time_channel")
+    assert len(re.findall(r"FileScan parquet", plan)) == 1
+    assert "ReusedExchange" in plan
