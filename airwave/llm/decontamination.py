@@ -2,13 +2,16 @@
 
 Texts and benchmark items are read as words (lower case, letters and digits). The random walk of
 Chakraborty, Goldenberg and Koucky writes a word sequence at a pace set by random bits of its own
-words, so that few edits become few Hamming differences. A repetition draws one walk and samples
-few places of it; windows of a text as long as an item's class whose samples equal an item's are
-candidates. Enough repetitions are made for an item with as many edits as allowed to be met with
-a chance of at least RECALL; an exact copy is met always. The words' edit distance between item
-and the best stretch of text around a candidate then decides.
-
-A window that can lie within the allowed edits of an item must share word pairs with the items
+words, so that few edits become few Hamming differences. Walks drift apart with every edit, so an
+item is cut into short anchor windows, as many as it takes for one of them to hold at most
+WINDOW_EDITS of the allowed edits, wherever those lie. A repetition draws one walk and samples few
+places of it; windows of a text whose samples equal an anchor window's are candidates. For each
+window length, repetitions are added until windows with WINDOW_EDITS edits are met with a chance
+of at least RECALL, measured for substituted, inserted and missing words at each place of the
+window; an exact copy is met always. The words' edit distance between item and the best stretch of
+text around a candidate then decides.
+
+A window that can lie within WINDOW_EDITS of an anchor window must share word pairs with the items
 (each edit breaks two); windows that share fewer aren't walked, which loses none.
 
 The benchmark is read in blocks of BLOCK_ITEMS items; each block is one pass over the texts. No
@@ -22,6 +25,7 @@ whose own is ``leaks`` (a column of that name is replaced).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,11 +40,14 @@ from .words import words
 MIN_WORDS = 5
 #: Allowed edits as a share of an item's words.
 EDITS = 0.2
+#: Edits that the best of an item's anchor windows can hold.
+WINDOW_EDITS = 1
 SAMPLES = 3
-REPEATS = 16
 RECALL = 0.95
+#: Random windows for each place of an edit, by which the chance of a hit is measured.
+TRIALS = 300
+MOST_REPEATS = 200
 BLOCK_ITEMS = 20_000
-GROWTH = 1.4
 PAD = np.uint64(0x5DEECE66D)
 
 #: Word bytes: ASCII letters and digits, and all of a non-ASCII character.
@@ -63,12 +70,12 @@ def _member(sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Repeat:
-    """One repetition for the items of one class of lengths."""
+    """One repetition for the anchor windows of one length."""
 
     pace: np.ndarray  # an odd number for each step of the walk
     sampled: np.ndarray  # the steps that are sampled, in order
-    partial: list[np.ndarray]  # sorted signatures of the items after each sampled step
-    items: np.ndarray  # items in the order of the last ones
+    partial: list[np.ndarray]  # sorted signatures of the windows after each sampled step
+    windows: np.ndarray  # windows in the order of the last ones
 
 
 def walk(h: np.ndarray, start: np.ndarray, end: np.ndarray, r: Repeat, known: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -93,12 +100,72 @@ def walk(h: np.ndarray, start: np.ndarray, end: np.ndarray, r: Repeat, known: bo
     return index, sign
 
 
+def _draw(rng: np.random.RandomState, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pace and sampled steps of a walk through ``size`` words."""
+    steps = max(SAMPLES, int(1.5 * size))
+    pace = rng.randint(0, 2**63 - 1, steps, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    return pace, np.sort(rng.choice(steps, SAMPLES, replace=False))
+
+
+def _trials(rng: np.random.RandomState, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(windows, texts, kind of each): each text holds its window after WINDOW_EDITS edits of one
+    kind, one of them at a place of the kind's own, after WINDOW_EDITS words and before others."""
+    windows, texts, kinds = [], [], []
+    word = lambda n: rng.randint(1, 2**63 - 1, n, dtype=np.int64).astype(np.uint64)
+    for edit in ("other", "more", "less"):
+        for place in range(size):
+            for _ in range(TRIALS):
+                own = word(size)
+                text = own.tolist()
+                also = rng.choice([x for x in range(size) if x != place], WINDOW_EDITS - 1, replace=False).tolist()
+                for at in sorted([place, *also], reverse=True):
+                    text[at : at + int(edit != "more")] = word(int(edit != "less")).tolist()
+                text = [*word(WINDOW_EDITS).tolist(), *text, *word(size + WINDOW_EDITS).tolist()]
+                windows.append(own)
+                texts.append(np.array(text[: 2 * size + WINDOW_EDITS], np.uint64))
+                kinds.append(f"{edit} {place}")
+    return np.array(windows), np.array(texts), np.array(kinds)
+
+
+@functools.cache
+def walks(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """As many walks as it takes for windows of ``size`` words to be met after WINDOW_EDITS edits.
+
+    The share of trials that is met has to reach RECALL by two standard errors for each kind and
+    place of the edits; starts up to WINDOW_EDITS words from the right one are tried, as in a text.
+    """
+    rng = np.random.RandomState(11 + size)
+    windows, texts, kinds = _trials(rng, size)
+    n, width = texts.shape
+    _, kind = np.unique(kinds, return_inverse=True)
+    starts = np.arange(2 * WINDOW_EDITS + 1)
+    start = (np.arange(n)[:, None] * width + starts).ravel()
+    enough = np.zeros((n, len(starts)), bool)
+    for k in starts:
+        near = texts[:, k : k + size]
+        pairs = [(windows[:, None, :-1] == near[:, :-1, None]) & (windows[:, None, 1:] == near[:, 1:, None])]
+        enough[:, k] = pairs[0].any(2).sum(1) >= max(1, size - 1 - 2 * WINDOW_EDITS)
+    own = np.arange(n) * size
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    met = np.zeros(n, bool)
+    margin = 2 * np.sqrt(RECALL * (1 - RECALL) / TRIALS)
+    while len(out) < MOST_REPEATS:
+        pace, sampled = _draw(rng, size)
+        out.append((pace, sampled))
+        r = Repeat(pace, sampled, [], own)
+        _, right = walk(windows.ravel(), own, own + size, r, False)
+        _, sign = walk(texts.ravel(), start, start + size, r, False)
+        met |= ((sign.reshape(n, -1) == right[:, None]) & enough).any(1)
+        if (np.bincount(kind, met) / np.bincount(kind)).min() >= RECALL + margin:
+            return out
+    raise ValueError(f"windows of {size} words are not met with a chance of {RECALL}")
+
+
 @dataclass
 class Length:
-    """Items of ``size`` to ``GROWTH * size`` words."""
+    """Anchor windows of ``size`` words."""
 
     size: int
-    edits: int
     repeats: list[Repeat]
 
 
@@ -115,27 +182,24 @@ class Block:
         for i in use:
             inner[first[i] : first[i + 1] - 1] = True
         self.pairs = np.unique(_pairs(h)[inner])
+        # of more windows than spare // (WINDOW_EDITS + 1), one holds WINDOW_EDITS edits at most
+        parts = (EDITS * count[use]).astype(np.int64) // (WINDOW_EDITS + 1) + 1
+        size = np.repeat(count[use] // parts, parts)
+        self.item = np.repeat(use, parts)
+        #: where each window begins in its item; those of an item lie side by side
+        self.offset = (np.arange(len(size)) - np.repeat(np.cumsum(parts) - parts, parts)) * size
+        begin = first[self.item] + self.offset
         self.lengths = []
-        size = MIN_WORDS
-        rng = np.random.RandomState(11)
-        while len(use):
-            above = max(size + 1, int(size * GROWTH))
-            own = use[(count[use] >= size) & (count[use] < above)]
-            use = use[count[use] >= above]
-            if len(own):
-                most = int(EDITS * (above - 1))
-                repeats = [self._repeat(rng, h, first, own, size) for _ in range(REPEATS)]
-                self.lengths.append(Length(size, most, repeats))
-            size = above
-
-    def _repeat(self, rng: np.random.RandomState, h: np.ndarray, first: np.ndarray, own: np.ndarray, size: int) -> Repeat:
-        steps = max(SAMPLES, int(1.5 * size))
-        pace = rng.randint(0, 2**63 - 1, steps, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        sampled = np.sort(rng.choice(steps, SAMPLES, replace=False))
+        for n in np.unique(size).tolist():
+            own = np.flatnonzero(size == n)
+            self.lengths.append(Length(n, [self._repeat(pace, sampled, h, begin, own, n) for pace, sampled in walks(n)]))
+
+    @staticmethod
+    def _repeat(pace: np.ndarray, sampled: np.ndarray, h: np.ndarray, begin: np.ndarray, own: np.ndarray, size: int) -> Repeat:
         partial, sign = [], None
         for k in range(SAMPLES):
             r = Repeat(pace, sampled[: k + 1], [], own)
-            _, sign = walk(h, first[own], first[own] + size, r, False)
+            _, sign = walk(h, begin[own], begin[own] + size, r, False)
             partial.append(np.unique(sign) if k < SAMPLES - 1 else np.sort(sign))
         return Repeat(pace, sampled, partial, own[np.argsort(sign, kind="stable")])
 
@@ -151,10 +215,10 @@ class Block:
             return out
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
         stop = first[1:][text]
-        met: set[tuple[int, int, int]] = set()
+        met = [np.zeros((0, 3), np.int64)]  # text, item, where the item would begin
         for group in self.lengths:
             last = np.minimum(np.arange(len(h)) + group.size - 1, stop - 1)
-            enough = shared[last] - shared[:-1] >= max(1, group.size - 1 - 2 * group.edits)
+            enough = shared[last] - shared[:-1] >= max(1, group.size - 1 - 2 * WINDOW_EDITS)
             start = np.flatnonzero(enough)
             if not len(start):
                 continue
@@ -164,24 +228,28 @@ class Block:
                 if not len(index):
                     continue
                 a = np.searchsorted(r.partial[-1], sign, "left")
-                b = np.searchsorted(r.partial[-1], sign, "right")
-                for s, x, y in zip(start[index].tolist(), a.tolist(), b.tolist(), strict=True):
-                    met.update((int(text[s]), int(i), s) for i in r.items[x:y])
+                n = np.searchsorted(r.partial[-1], sign, "right") - a
+                window = r.windows[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                at = np.repeat(start[index], n)
+                met.append(np.stack([text[at], self.item[window], at - self.offset[window]], 1))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         reach: dict[tuple[int, int], int] = {}
-        for t, i, s in sorted(met):
-            if s < reach.get((t, i), -1):  # inside a stretch that was just verified
+        for t, i, s in np.unique(np.concatenate(met), axis=0).tolist():
+            if s < reach.get((t, i), s):  # whatever begins near here was in a stretch just verified
                 continue
             item = self.items[i]
             spare = int(EDITS * len(item))
-            # holds whatever lies near the item and begins up to ``spare`` words from here
-            low, high = max(first[t], s - spare), min(first[t + 1], s + len(item) + 2 * spare)
+            # holds whatever lies near the item and is met up to ``spare`` words from here: the item
+            # begins at most ``near`` words from where a window says
+            near = spare + WINDOW_EDITS
+            low, high = max(int(first[t]), s - near), min(int(first[t + 1]), s + spare + near + len(item) + spare)
             reach[t, i] = s + spare + 1
             if np.isin(item, h[low:high]).sum() < len(item) - spare:  # each missing word is an edit
                 continue
             d, a, b = verify(item, h[low:high])
             if d <= spare:
-                reach[t, i] = int(low) + b if d == 0 else s + 1
+                if d == 0:  # what is met later begins later
+                    reach[t, i] = int(first[t + 1])
                 found = (d, int(low - first[t] + a), int(low - first[t] + b))
                 best[t, i] = min(best.get((t, i), found), found)
         for (t, i), (d, a, b) in sorted(best.items()):

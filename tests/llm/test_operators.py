@@ -155,6 +155,24 @@ def test_decontamination(spark, docs, odd_docs):
     assert decontamination.leaks(docs, bench.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["other", "more", "less", "mixed"])
+@pytest.mark.parametrize("length", [5, 10, 20, 41, 57, 100, 300])
+def test_decontamination_recall_at_most_edits(length, kind):
+    rng = random.Random(length)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    items = [[word() for _ in range(length)] for _ in range(60)]
+    texts = []
+    for item in items:
+        own = list(item)
+        for at in sorted(rng.sample(range(length), int(decontamination.EDITS * length)), reverse=True):
+            edit = rng.choice(["other", "more", "less"]) if kind == "mixed" else kind
+            own[at : at + (edit != "more")] = [word()] * (edit != "less")
+        texts.append(" ".join(["before"] * 7 + own + ["after"] * 9))
+    block = decontamination.Block(list(range(60)), [" ".join(x) for x in items])
+    found = block.find(*[decontamination.words(*text_bytes(pa.array(texts)), decontamination.APART)[k] for k in (0, 3)])
+    assert sum(any(x["item_id"] == i for x in own) for i, own in enumerate(found)) >= decontamination.RECALL * 60
+
+
 def test_language(spark, docs, odd_docs):
     model = language_id.train(docs)
     rows = language_id.identified(docs.withColumn("held", held_out()), model).toPandas()
