@@ -5,7 +5,7 @@ histogram of piece lengths (one row for each possible length) comes to the drive
 are placed longest first, each on the pattern of packs that is shortest so far if it fits, which
 splits or extends pattern counts; no single piece is looked at. A placement says: the pieces of
 this length with ranks a to b lie at this offset of sequences c to c + b - a. Pieces are then
-ranked inside their length and find their placement by rank.
+ranked inside their length and find their placement by rank; their ids go along.
 
 Defined cases: a null or empty text is the end id alone; a null doc_id is kept as it is; repeated
 rows are pieces of their own; an empty table gives no rows; other columns of the documents are
@@ -28,15 +28,22 @@ from .tokens import tokenizer
 
 LENGTH = 1024
 END_ID = 0
-#: Rows of one length that are ranked in one group.
+#: Rows of one length that are ranked in one group, and their ids.
 GROUP_ROWS = 100_000
+GROUP_IDS = 1 << 23
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PACKED = PIECES + ", ids array<int>, sequence_id long, offset long"
 
 
-def _cut(path: str, length: int, with_ids: bool) -> Callable:
+def _id_width(path: str) -> str:
+    """The narrowest type that holds a tokenizer's ids, for ids on their way through Spark."""
+    return "<u2" if tokenizer(path).library.get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def _cut(path: str, length: int, with_ids: bool, narrow: str | None = None) -> Callable:
     fields = [pa.field(x.split()[0], pa.int64()) for x in PIECES.split(", ")]
-    schema = pa.schema(fields + [pa.field("ids", pa.list_(pa.int32()))] * with_ids)
+    schema = pa.schema(fields + [pa.field("ids", pa.binary() if narrow else pa.list_(pa.int32()))] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(path)
@@ -56,7 +63,11 @@ def _cut(path: str, length: int, with_ids: bool) -> Callable:
             columns = [batch.column("doc_id").take(pa.array(doc)), start, size, crc, tokens[doc]]
             if with_ids:  # pieces lie one after the other, so their ids are the ids of the slice
                 ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(ends, ids.astype(np.int32)))
+                if narrow:
+                    ends *= np.dtype(narrow).itemsize
+                    columns.append(pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype(narrow))]))
+                else:
+                    columns.append(pa.ListArray.from_arrays(ends, ids.astype(np.int32)))
             yield batch_of(schema, columns)
 
     return run
@@ -107,7 +118,7 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     names = [c for c in ("doc_id", "start", "ids_crc32", "doc_tokens") if c in cut.columns]
     parts = np.ones(length + 1, np.int64)
     for size, n in counts.items():
-        parts[size] = -(-n // GROUP_ROWS)
+        parts[size] = -(-n // min(GROUP_ROWS, max(1, GROUP_IDS // size)))
     groups = F.array(*[F.lit(int(p)) for p in parts])
     rows = cut.withColumn("_group", F.pmod(F.xxhash64(*names), F.element_at(groups, (F.col("length") + 1).cast("int"))))
     sizes = rows.groupBy("length", "_group").agg(F.count("*").alias("_n"))
@@ -130,9 +141,35 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     return found.select(*cut.columns, "_at.sequence_id", "_at.offset")
 
 
+def _read(narrow: str) -> Callable:
+    """Packed pieces with their ids as numbers; ``length`` and ``ids_crc32`` are taken from these."""
+    fields = [pa.field(x.split()[0], pa.list_(pa.int32()) if "array" in x else pa.int64()) for x in PACKED.split(", ")]
+    schema = pa.schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(0, batch.num_rows, 2048):
+                part = batch.slice(row, 2048)
+                raw = part.column("ids").to_pylist()
+                size = np.array([len(x) for x in raw], np.int64) // np.dtype(narrow).itemsize
+                ids = np.frombuffer(b"".join(raw), narrow).astype("<u4")
+                ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                own = {
+                    "length": size,
+                    "ids_crc32": [zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)],
+                    "ids": pa.ListArray.from_arrays(ends, ids.astype(np.int32)),
+                }
+                yield batch_of(schema, [own[n] if n in own else part.column(n) for n in schema.names])
+
+    return run
+
+
 def packed(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFrame:
-    """Documents to packed pieces; the pieces (without ids) are saved in between."""
-    return pack(saved(pieces(docs, tokenizer_path, length)), length)
+    """Documents to packed pieces with their ids; the pieces are saved in between."""
+    narrow = _id_width(tokenizer_path)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
+    cut = rows.mapInArrow(_cut(tokenizer_path, length, True, narrow), PIECES + ", ids binary")
+    return pack(saved(cut), length).mapInArrow(_read(narrow), PACKED)
 
 
 def sequences(packed_ids: DataFrame, length: int = LENGTH, pad: int = END_ID) -> DataFrame:

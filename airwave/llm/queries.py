@@ -95,7 +95,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)).drop("ids")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Each stage is a function of (spark, docs, sf_dir) that returns a DataFrame, which is written as
 Parquet to the shared folder and read again as the next stage's documents. All but the last return
-the columns of documents; the last returns the packed pieces.
+the columns of documents; the last returns the packed pieces with their token ids.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token pieces, packed into sequences."""
+    """The documents' token pieces with their ids, packed into sequences."""
     return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -56,6 +56,24 @@ def test_packing(spark, docs, odd_docs):
     assert packing.packed(docs.where("false"), PATH).count() == 0
 
 
+def test_packed_pieces_bring_their_ids(spark, docs, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(packing, "GROUP_IDS", 5000)
+    rows = docs.limit(60)
+    got = packing.packed(rows, PATH, 256).toPandas().sort_values(["doc_id", "start"])
+    texts = {r["doc_id"]: r["text"] for r in rows.collect()}
+    for doc_id, own in got.groupby("doc_id"):
+        whole = np.append(tokenizer(PATH).whole([texts[doc_id]])[0], packing.END_ID)
+        assert np.array_equal(np.concatenate(own["ids"].tolist()), whole)
+    full = packing.sequences(packing.packed(rows, PATH, 256), 256).collect()
+    assert {len(r["ids"]) for r in full} == {256} and len(full) == got["sequence_id"].nunique()
+    last = dict(corpus_pipeline.STAGES)["packing"](spark, rows, SF)
+    assert last.count() and last.where("size(ids) = length").count() == last.count()
+    by_id = {r["sequence_id"]: r["ids"] for r in full}
+    assert all(by_id[p.sequence_id][p.offset : p.offset + p.length] == list(p.ids) for p in got.itertuples())
+
+
 def test_placements_hold_every_piece():
     random.seed(2)
     histogram = collections.Counter(random.choices(range(1, 65), k=5000))
