@@ -16,8 +16,9 @@ components is confirmed as well. Components come from large-star and small-star
 Defined cases: texts that are null, empty or without words have the empty set, take no part and
 keep their own id; a text with fewer than five words has one shingle, its whole sequence; rows
 repeated with one doc_id and one text are one document; a row without doc_id links others but is
-never a smallest id (component_id is null if no member has an id; ``kept`` is then true);
-empty tables give no rows; other columns are ignored by ``components`` and kept by ``one_of_each``.
+never a smallest id (component_id is null if no member has an id; ``kept`` is then true for all, but
+``one_of_each`` keeps one of them); empty tables give no rows; other columns are ignored by
+``components`` and kept by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch_of, compact, mixed, saved, slices, text_bytes
@@ -332,25 +333,31 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     return labels if last.isEmpty() else connected(linked.unionByName(last))
 
 
+def _first() -> Column:
+    """The first document of a group: the one that stays."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(signed rows, nodes with their first document and the label of their component), both saved."""
+    rows = saved(signed(docs))
+    nodes = rows.where("node is not null").groupBy("node").agg(_first().alias("own"), F.first("signature").alias("signature"))
+    nodes = saved(nodes.select("node", "own.doc_id", "own.text_hash", "signature"))
+    labels = links(docs, nodes)
+    named = nodes.drop("signature")
+    if labels is None:
+        return rows, named.withColumn("label", F.col("node"))
+    return rows, named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, kept: one row for each row of ``docs``.
 
     ``component_id`` is the smallest doc_id that links reach, the document's own included.
     """
-    rows = saved(signed(docs))
-    nodes = rows.where("node is not null").groupBy("node").agg(
-        F.min_by(F.struct("doc_id", "text_hash"), F.coalesce("doc_id", F.lit(2**63 - 1))).alias("own"),
-        F.first("signature").alias("signature"),
-    )
-    nodes = saved(nodes.select("node", "own.doc_id", "own.text_hash", "signature"))
-    labels = links(docs, nodes)
-    named = nodes.select("node", F.col("doc_id").alias("smallest"))
-    if labels is not None:
-        named = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        least = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
-        named = named.join(least, "label").select("node", "component_id")
-    else:
-        named = named.withColumnRenamed("smallest", "component_id")
+    rows, named = _grouped(docs)
+    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(least, "label").select("node", "component_id")
     out = rows.select("doc_id", "text_hash", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
@@ -358,9 +365,29 @@ def components(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those that are near a kept one with a smaller doc_id."""
-    gone = components(docs).where("not kept and doc_id is not null").select("doc_id", "text_hash").distinct()
-    gone = gone.select(F.col("doc_id").alias("_gone"), "text_hash")
-    same = (F.col("doc_id") == F.col("_gone")) & (F.xxhash64("text") == F.col("text_hash"))
-    return docs.join(gone, same, "left_anti")
+def one_of_each(docs: DataFrame, repeated: bool = True) -> DataFrame:
+    """The first document of each group by (doc_id, nulls last, and hash of the text), as it is.
+
+    Documents are rows with one doc_id and one text; rows without doc_id are documents of their own,
+    and one of those with the same text stays. With ``repeated`` all rows of a document that stays
+    are kept, without it one, the first by a hash of its columns.
+    """
+    rows, named = _grouped(docs)
+    first = named.groupBy("label").agg(_first().alias("first"))
+    named = named.join(first, "label").select("node", "first")
+    keys = rows.groupBy("doc_id", "text_hash").agg(F.first("node").alias("node"), F.count("*").alias("n"))
+    keys = keys.join(named, "node", "left")
+    stays = F.col("node").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))
+    # empty sets without an id take no part: nothing says that they are one document
+    one = F.col("node").isNotNull() & F.col("doc_id").isNull() if repeated else F.col("node").isNotNull() | F.col("doc_id").isNotNull()
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), stays.alias("_stays"), ((F.col("n") > 1) & one).alias("_one"))
+    marks = saved(keys.where("not _stays or _one"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    out = docs.join(marks, same, "left_anti")
+    several = marks.where("_stays")
+    if several.isEmpty():
+        return out
+    # rows of one key are cut to one in each task before they are shuffled
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    single = docs.join(several, same).groupBy("_id", "_hash").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_row"))
+    return out.unionByName(single.select("_row.*"))

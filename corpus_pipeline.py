@@ -20,8 +20,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near duplicates."""
-    return near_dedup.one_of_each(docs)
+    """One row, the first by id, of each group of near duplicates; repeated rows go as well."""
+    return near_dedup.one_of_each(docs, repeated=False)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

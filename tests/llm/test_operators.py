@@ -147,6 +147,24 @@ def test_near_dedup(spark, docs, odd_docs):
     assert near_dedup.components(docs.where("false")).count() == 0
 
 
+def test_one_row_of_each_group(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    near, other, third = text + " more", " ".join(f"v{i}" for i in range(50)), " ".join(f"u{i}" for i in range(50))
+    rows = spark.createDataFrame(
+        [(None, text, "x"), (7, text, "x"), (5, near, "x"), (5, text, "x"), (None, near, "x"),  # one group
+         (None, other, "x"), (None, other, "y"), (None, other + " more", "x"),  # no id in the group
+         (9, third, "x"), (9, third, "x"), (9, third, "y"),  # repeated
+         (None, "", "x"), (None, "", "x"), (3, "", "x"), (3, "", "x"), (4, None, "x")],
+        "doc_id long, text string, source string",
+    )
+    got = near_dedup.one_of_each(rows, repeated=False)
+    assert got.columns == rows.columns
+    left = collections.Counter((r["doc_id"], (r["text"] or "")[:2]) for r in got.collect())
+    assert left == {(5, "w0"): 1, (None, "v0"): 1, (9, "u0"): 1, (None, ""): 2, (3, ""): 1, (4, ""): 1}
+    left = collections.Counter((r["doc_id"], (r["text"] or "")[:2]) for r in near_dedup.one_of_each(rows).collect())
+    assert left == {(5, "w0"): 1, (None, "v0"): 1, (9, "u0"): 3, (None, ""): 2, (3, ""): 2, (4, ""): 1}
+
+
 def test_connected_paths(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20], "a long, b long")
     got = {r["node"]: r["label"] for r in near_dedup.connected(edges).collect()}
