@@ -6,7 +6,8 @@ not as a tree but as a sorted list: nodes with long common prefixes lie side by
 are the next few neighbours in each order, so the depth at which two nodes meet adapts to the
 region: where few nodes share a prefix a short one does, in crowded regions a longer one is
 needed. The lists are range-partitioned by signature, so a crowded region spreads over tasks, and
-the candidates are linear in the nodes whatever the size of a group.
+the candidates are linear in the nodes whatever the size of a group. The last rows of a partition
+meet the first ones of the next in a second small job, so partitions don't change the candidates.
 
 Candidates whose signatures rule out the similarity are dropped; the others are confirmed on full
 sets, best candidate of each node first. Nodes of a group that met only weaker members are then
@@ -45,6 +46,8 @@ SKETCH_MATCHES = 36
 #: From here on a pair is likelier than not to be confirmed.
 LIKELY_MATCHES = 48
 FILTER_BITS = (16, 27)
+#: Rows of a partition of the forest, as far as there are shuffle partitions for fewer.
+ROWS_PER_PART = 5_000
 #: Rows of a partition of saved edges, pairs and sets.
 EDGES_PER_PART, PAIRS_PER_PART, SETS_PER_PART = 200_000, 20_000, 5_000
 
@@ -123,36 +126,99 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch_of(schema, [_binary(key), part.column("node"), _binary(sketch)])
 
 
+def _agreeing(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, first: np.ndarray, step: int) -> tuple:
+    """(a, b, agree) of the rows in ``first`` and those ``step`` further that share a prefix and agree."""
+    same = key[first, : 1 + 2 * MIN_DEPTH] == key[first + step, : 1 + 2 * MIN_DEPTH]
+    first = first[same.all(1)]
+    x = sketch[first] ^ sketch[first + step]
+    agree = ((x & 0xF0) == 0).sum(1) + ((x & 0x0F) == 0).sum(1)
+    good = agree >= SKETCH_MATCHES
+    a, b = node[first[good]], node[first[good] + step]
+    return np.minimum(a, b), np.maximum(a, b), agree[good].astype(np.int32)
+
+
+PAIRS = "a long, b long, agree int"
+#: Rows at the edges of partition ``part``: their place in it and how many rows it has.
+EDGES = "part int, place long, size long, key binary, node long, sketch binary"
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+
+
+def _schema(ddl: str) -> pa.Schema:
+    return pa.schema([(name, _KINDS[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
+
+
+def _forest_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _bytes(batch.column("key"), 1 + 2 * LEVELS), np.asarray(batch.column("node")), _bytes(batch.column("sketch"), 32)
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a row and the next ones, as far as they share a prefix and their sketches agree."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("agree", pa.int32())])
-    width, kept = 1 + 2 * LEVELS, None
+    """Pairs of a row and the next ones in its partition, and the partition's first and last rows."""
+    from pyspark import TaskContext
+
+    pairs, edges = _schema(PAIRS), _schema(EDGES)
+    schema = pa.schema([*pairs, *edges])
+
+    def out(part: pa.Schema, columns: list) -> pa.RecordBatch:
+        own, n = dict(zip(part.names, columns, strict=True)), len(columns[0])
+        return batch_of(schema, [own[f.name] if f.name in own else pa.nulls(n, f.type) for f in schema])
+
+    head = kept = None
+    size = 0
     for batch in batches:
-        key, node = _bytes(batch.column("key"), width), np.asarray(batch.column("node"))
-        sketch = _bytes(batch.column("sketch"), 32)
-        if kept is not None:  # the last rows of the batch before
-            key, node, sketch = (np.concatenate(x) for x in zip(kept, (key, node, sketch), strict=True))
+        if not batch.num_rows:
+            continue
+        rows = _forest_rows(batch)
+        size += batch.num_rows
+        if head is None or len(head[0]) < NEIGHBOURS:
+            more = rows if head is None else tuple(np.concatenate(x) for x in zip(head, rows, strict=True))
+            head = tuple(x[:NEIGHBOURS].copy() for x in more)
         old = 0 if kept is None else len(kept[0])
+        if kept is not None:  # the last rows of the batch before
+            rows = tuple(np.concatenate(x) for x in zip(kept, rows, strict=True))
         for step in range(1, NEIGHBOURS + 1):
-            first = np.arange(max(0, old - step), len(node) - step)
-            if not len(first):
-                continue
-            same = key[first, : 1 + 2 * MIN_DEPTH] == key[first + step, : 1 + 2 * MIN_DEPTH]
-            first = first[same.all(1)]
-            x = sketch[first] ^ sketch[first + step]
-            agree = ((x & 0xF0) == 0).sum(1) + ((x & 0x0F) == 0).sum(1)
-            good = agree >= SKETCH_MATCHES
-            a, b = node[first[good]], node[first[good] + step]
-            yield batch_of(schema, [np.minimum(a, b), np.maximum(a, b), agree[good].astype(np.int32)])
-        kept = (key[-NEIGHBOURS:], node[-NEIGHBOURS:], sketch[-NEIGHBOURS:])
+            first = np.arange(max(0, old - step), len(rows[1]) - step)
+            if len(first):
+                yield out(pairs, list(_agreeing(*rows, first, step)))
+        kept = tuple(x[-NEIGHBOURS:] for x in rows)
+    if size:
+        last = min(len(kept[1]), size - len(head[1]))  # what isn't among the first rows
+        place = np.concatenate([np.arange(len(head[1])), np.arange(size - last, size)])
+        key, node, sketch = (np.concatenate([x, y[len(y) - last :]]) for x, y in zip(head, kept, strict=True))
+        part = np.full(len(place), TaskContext.get().partitionId(), np.int32)
+        yield out(edges, [part, place, np.full(len(place), size), _binary(key), node, _binary(sketch)])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of neighbours in different partitions, from all partitions' edges in order."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    part, place, size = (np.concatenate([np.asarray(b.column(c)) for b in batches]) for c in ("part", "place", "size"))
+    rows = tuple(np.concatenate(x) for x in zip(*[_forest_rows(b) for b in batches], strict=True))
+    begins = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    before = np.cumsum(size[begins]) - size[begins]  # rows of the partitions before
+    at = np.repeat(before, np.diff(np.append(begins, len(part)))) + place
+    for step in range(1, NEIGHBOURS + 1):
+        first = np.arange(max(0, len(part) - step))
+        first = first[(part[first] != part[first + step]) & (at[first + step] - at[first] == step)]
+        if len(first):
+            yield batch_of(_schema(PAIRS), list(_agreeing(*rows, first, step)))
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b, agree), a < b, of neighbours in any of the forest's orders."""
+    """Distinct pairs (a, b, agree), a < b, of neighbours in any of the forest's orders.
+
+    Neighbours at the edges of partitions meet in a second job, of 2 * NEIGHBOURS rows a partition
+    at most, so pairs don't depend on the partitions. ``nodes`` are saved.
+    """
     forest = nodes.select("node", "signature").mapInArrow(_orders, "key binary, node long, sketch binary")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(parts, -(-TREES * nodes.count() // ROWS_PER_PART)))
     forest = forest.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node")
-    pairs = forest.mapInArrow(_neighbours, "a long, b long, agree int")
+    found = saved(forest.mapInArrow(_neighbours, f"{PAIRS}, {EDGES}"))
+    edges = found.where("part is not null").select("part", "place", "size", "key", "node", "sketch")
+    across = edges.coalesce(1).sortWithinPartitions("part", "place").mapInArrow(_across, PAIRS)
+    pairs = found.where("part is null").select("a", "b", "agree").unionByName(across)
     return pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 

@@ -147,6 +147,24 @@ def test_near_dedup(spark, docs, odd_docs):
     assert near_dedup.components(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("n", [2, 3, 8, 20])
+def test_neighbours_meet_across_partitions(spark, monkeypatch, n):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(k, " ".join(base[:197] + [f"x{k}"])) for k in range(n)]
+    nodes = near_dedup.signed(spark.createDataFrame(rows, "doc_id long, text string")).localCheckpoint()
+    pairs = lambda: {tuple(r) for r in near_dedup.candidates(nodes).collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        whole = pairs()
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        assert pairs() == whole and len(whole) >= n - 1
+        monkeypatch.setattr(near_dedup, "ROWS_PER_PART", 1)
+        assert pairs() == whole
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_one_row_of_each_group(spark):
     text = " ".join(f"w{i}" for i in range(100))
     near, other, third = text + " more", " ".join(f"v{i}" for i in range(50)), " ".join(f"u{i}" for i in range(50))
