@@ -145,19 +145,6 @@ _SPELLED_AT, _SPELLED_DOT = re.compile(rf"\s+(?:{AT})\s+|\s*@\s*", re.I), re.com
 _HAS_SPELLED_DOT = re.compile(rf"\s(?:{DOT})\s", re.I)
 _TOKEN = re.compile(rf"(?P<times>(?:double|triple){_GAP})?(?P<digit>{_WORD}|[0-9]+)|(?P<plus>\+\s*|plus{_GAP})|(?P<dot>(?:{_GAP})?(?:{DOT}){_GAP}|\.)|(?P<gap>.)", re.I | re.S)
 
-#: What a disguise can't do without, for a linear-time matcher over all texts.
-SIGNS = (
-    r"[\x{0370}-\x{052F}\x{0531}-\x{058F}\x{0660}-\x{0669}\x{06F0}-\x{06F9}\x{0966}-\x{096F}\x{00AD}\x{0131}\x{0261}"
-    r"\x{200B}-\x{200F}\x{2010}-\x{2015}\x{2024}\x{2060}-\x{2064}\x{2070}-\x{209C}\x{2219}\x{217C}\x{2460}-\x{24FF}"
-    r"\x{FEFF}\x{FF01}-\x{FF5E}\x{1D400}-\x{1D7FF}]"
-    rf"|[\[({{<]\s*(?:{AT}|@|{DOT}|\.)\s*[\])}}>]"
-    rf"|\s(?:{DOT})\s+[A-Za-z0-9]"
-    r"|\s@|@\s|@\S+\s\.|@\S+\.\s+[a-z]"
-    rf"|(?:{_WORD})[\s,;/·_-]{{1,3}}(?:(?:double|triple)[\s,;/·_-]{{1,3}})?(?:{_WORD}|[0-9])"
-    rf"|[0-9][\s,;/·_-]{{1,3}}(?:{_WORD})"
-)
-
-
 def _sign_table() -> dict[int, str]:
     """One ASCII sign for each sign that is a compatibility form or a look-alike of it."""
     table = {ord(k): v for k, v in LOOK_ALIKE.items()}
@@ -175,6 +162,30 @@ def _sign_table() -> dict[int, str]:
 _SIGN_TABLE = _sign_table()
 
 
+def _class(signs: list[int]) -> str:
+    """The signs as ranges inside a character class."""
+    signs = np.unique(signs)
+    cut = np.flatnonzero(np.diff(signs) != 1)
+    ends = zip(signs[np.append(0, cut + 1)].tolist(), signs[np.append(cut, len(signs) - 1)].tolist(), strict=True)
+    return "".join(rf"\x{{{a:04X}}}-\x{{{b:04X}}}" for a, b in ends)
+
+
+_BETWEEN = rf"(?:{_GAP}|(?:{_GAP})?(?:{DOT}){_GAP}|[().])"
+#: What a disguise can't do without, for a linear-time matcher over all texts.
+SIGNS = (
+    r"[\x{0370}-\x{052F}\x{0531}-\x{058F}\x{0660}-\x{0669}\x{06F0}-\x{06F9}\x{0966}-\x{096F}\x{00AD}\x{0131}\x{0261}"
+    r"\x{200B}-\x{200F}\x{2010}-\x{2015}\x{2024}\x{2060}-\x{2064}\x{2070}-\x{209C}\x{2219}\x{217C}\x{2460}-\x{24FF}"
+    r"\x{FEFF}\x{FF01}-\x{FF5E}\x{1D400}-\x{1D7FF}"
+    rf"{_class(list(_SIGN_TABLE))}]"
+    rf"|[\[({{<]\s*(?:{AT}|@|{DOT}|\.)\s*[\])}}>]"
+    rf"|\s(?:{DOT})\s+[A-Za-z0-9]"
+    r"|\s@|@\s|@\S+\s\.|@\S+\.\s+[a-z]"
+    rf"|(?:{_WORD}){_BETWEEN}(?:(?:double|triple){_GAP})?(?:{_WORD}|[0-9])"
+    rf"|[0-9]{_BETWEEN}(?:(?:double|triple){_GAP})?(?:{_WORD})"
+    rf"|[0-9](?:{_GAP})?(?:{DOT}){_GAP}[0-9]"
+)
+
+
 class Tape:
     """A text, with the stretch of source characters [starts, ends) behind each of its signs."""
 

@@ -318,6 +318,23 @@ def test_pii_in_disguise(text, hidden):
     assert [text[a:b] for _, a, b in spans] == ([hidden] if hidden else [])
 
 
+def _rewritten(texts):
+    return pii.search(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]))[1]
+
+
+def test_pii_each_sign_alone_triggers_the_rewrite():
+    signs = pa.array([chr(sign) for sign in pii._SIGN_TABLE])
+    assert all(pii.pc.match_substring_regex(signs, pii.SIGNS, ignore_case=True).to_pylist())
+    hidden = {sign: "jane@example{}com" if plain == "." else "jane{}example.com" if plain == "@" else "{}@example.com"
+              for sign, plain in pii._SIGN_TABLE.items() if plain.isalnum() or plain in ".@"}
+    texts = [form.format(chr(sign)) for sign, form in hidden.items()]
+    for text, spans in zip(texts, _rewritten(texts), strict=True):
+        assert [text[a:b] for _, a, b in spans] == [text], text
+    for between in (" ", ".", "(", ")", "_", "_dot_", " dot ", "·"):
+        text = "call +" + between.join(["five"] * 8) + " now"
+        assert [k for k, _, _ in _rewritten([text])[0] if k == 3] == [3], between
+
+
 def test_pii_redacted(spark, odd_docs):
     rows = spark.createDataFrame([(1, "é a@b.cd and 1.2.3.4", 20), (2, None, None)], "doc_id long, text string, n_chars long")
     got = pii.redacted(rows).orderBy("doc_id").collect()
