@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, language_id, near_dedup, nearest, packing, pii, sharding, token_counts, toxicity
+from . import chat_format, decontamination, language_id, near_dedup, nearest, packing, pii, repair, sharding, token_counts, toxicity, whitening
 from .common import held_out, saved, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -103,6 +103,15 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.vectors(table(spark, sf_dir, "embeddings"))
+    return whitening.whitened(rows, whitening.fit(rows))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,7 +122,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_nearest, op3_language_id, op4_sharding, op5_decontamination,
-        op6_chat_format, op7_token_counts, op8_pii, op9_packing, op10_near_dedup, pipeline,
+        op6_chat_format, op7_token_counts, op8_pii, op9_packing, op10_near_dedup,
+        op12_conversation_repair, op13_whitening, pipeline,
     )
 }
 
@@ -180,6 +190,84 @@ SELECT doc_id, n_shingles, coalesce(component_id, doc_id) AS component_id, doc_i
 """
 
 
+#: crc32 is spelled out: a table of 256 remainders, then one step a byte.
+REPAIR_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), kinds AS (
+  SELECT given.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM given, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM damaged
+), marked AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), lines AS (
+  SELECT conv_id, pos, role, text, CASE WHEN initial IN ('s', 'u', 'a') THEN initial ELSE ' ' END AS r,
+         blank OR again AS must, cut AND NOT blank AND NOT again AS cut FROM marked
+), tally AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+  FROM marked GROUP BY conv_id
+), ins(i, k, n) AS (
+  VALUES (0, 0, 0), (0, 2, 1), (0, 3, 2), (1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 2, 0), (2, 3, 1), (3, 3, 0), (3, 2, 1)
+), keep(r, k, j) AS (
+  VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)
+), anew(k, j) AS (
+  VALUES (0, 2), (1, 2), (2, 3), (3, 2)
+), edit AS (
+  SELECT i, k AS j, NULL AS r, 'D' AS letter, 4 + 3 * n AS cost, n FROM ins
+  UNION ALL SELECT i, j, r, 'K', 3 * n, n FROM ins JOIN keep USING (k)
+  UNION ALL SELECT i, j, NULL, 'R', 3 + 3 * n, n FROM ins JOIN anew USING (k)
+), dp AS (
+  SELECT conv_id, 0::BIGINT AS pos, 0 AS state, '00000000' AS best FROM tally
+  UNION ALL
+  SELECT dp.conv_id, l.pos, e.j, min(lpad((left(dp.best, 8)::BIGINT + e.cost + CASE WHEN l.cut AND e.letter <> 'D' THEN 3 ELSE 0 END)::VARCHAR, 8, '0')
+         || substr(dp.best, 9) || repeat('I', e.n) || e.letter)
+  FROM dp JOIN lines l ON l.conv_id IS NOT DISTINCT FROM dp.conv_id AND l.pos = dp.pos + 1
+  JOIN edit e ON e.i = dp.state AND (e.letter = 'D' OR (NOT l.must AND (e.letter = 'R' OR e.r = l.r)))
+  GROUP BY dp.conv_id, l.pos, e.j
+), ended AS (
+  SELECT t.conv_id, min(lpad((left(best, 8)::BIGINT + 3 * ins.n)::VARCHAR, 8, '0') || substr(best, 9) || repeat('I', ins.n)) AS best
+  FROM tally t JOIN dp ON dp.conv_id IS NOT DISTINCT FROM t.conv_id AND dp.pos = t.n JOIN ins ON ins.i = dp.state AND ins.k IN (0, 3)
+  GROUP BY t.conv_id
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS step, 0::BIGINT AS pos, 0 AS state, NULL::VARCHAR AS line, substr(best, 9) AS audit FROM ended
+  UNION ALL
+  SELECT w.conv_id, w.step + 1, w.pos + CASE WHEN x.letter = 'I' THEN 0 ELSE 1 END,
+         CASE x.letter WHEN 'D' THEN w.state WHEN 'K' THEN keep.j ELSE anew.j END,
+         CASE x.letter WHEN 'D' THEN NULL WHEN 'K' THEN l.role || ':' || l.text
+           ELSE CASE WHEN w.state = 2 THEN 'assistant:' ELSE 'user:' END || CASE WHEN x.letter = 'I' THEN '' ELSE l.text END END, w.audit
+  FROM walk w JOIN (SELECT conv_id, unnest(range(1, length(substr(best, 9)) + 1)) AS p, substr(best, 8 + p, 1) AS letter FROM ended) x
+    ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.p = w.step + 1
+  LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.pos = w.pos + 1
+  LEFT JOIN keep ON keep.r = l.r AND keep.k = w.state JOIN anew ON anew.k = w.state
+), written AS (
+  SELECT conv_id, coalesce(string_agg(line, chr(10) ORDER BY step), '') AS whole FROM walk GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+       coalesce(left(best, 8)::BIGINT, 0) AS cost, coalesce(substr(best, 9), '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN tally t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN written w ON w.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express."""
-    return {"op2_nearest": NEAREST_SQL, "op6_chat_format": CHAT_SQL, "op10_near_dedup": NEAR_DEDUP_SQL}
+    return {"op2_nearest": NEAREST_SQL, "op6_chat_format": CHAT_SQL, "op10_near_dedup": NEAR_DEDUP_SQL, "op12_conversation_repair": REPAIR_SQL}
