@@ -114,3 +114,31 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)],
         schema=schema,
     )
+
+
+#: Bits of ``key_bits``: 8 KB to 16 MB.
+KEY_BITS = (16, 27)
+
+
+def key_bits(keys: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter with one hash of a long column, made by Spark, as packed bits.
+
+    A place is pmod(xxhash64(key), 8 * length). With more than 8 million keys more than a
+    sixteenth of the others get through; what follows must tell them apart anyway.
+    """
+    bits = min(max(KEY_BITS[0], (16 * max(keys.count(), 1)).bit_length()), KEY_BITS[1])
+    place = F.pmod(F.xxhash64(column), F.lit(1 << bits)) + 1  # Spark's bitmaps count from 1
+    marked = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    out = np.zeros(1 << bits - 3, np.uint8)
+    for row in marked.toLocalIterator():
+        at = 4096 * (row["bucket"] - 1)
+        found = np.frombuffer(row["bits"], np.uint8)
+        out[at : at + len(found)] = found[: len(out) - at]
+    return out
+
+
+def may_hold(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether the bits at these places are set."""
+    return bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, language_id, near_dedup, nearest, packing, pii, repair, sharding, token_counts, toxicity, whitening
+from . import chat_format, decontamination, language_id, near_dedup, nearest, ngram_join, packing, pii, repair, sharding, token_counts, toxicity, whitening
 from .common import held_out, saved, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -103,6 +103,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(table(spark, sf_dir, "conversations"))
 
@@ -123,7 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity, op2_nearest, op3_language_id, op4_sharding, op5_decontamination,
         op6_chat_format, op7_token_counts, op8_pii, op9_packing, op10_near_dedup,
-        op12_conversation_repair, op13_whitening, pipeline,
+        op11_ngram_join, op12_conversation_repair, op13_whitening, pipeline,
     )
 }
 
@@ -158,14 +162,15 @@ SELECT conv_id, count(*) AS n_turns,
 FROM written GROUP BY conv_id
 """
 
-NEAR_DEDUP_SQL = r"""
+#: {w} words to a shingle, linked from {t} hundredths on.
+SHINGLE_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {w} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {w} + 2), lambda i: array_to_string(w[i:i + {w} - 1], ' '))) END AS s
   FROM words
 ), distinct_sets AS (
   SELECT min(doc_id) AS doc_id, s FROM (SELECT doc_id, list_sort(s) AS s FROM sets WHERE len(s) > 0) GROUP BY s
@@ -173,7 +178,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS x FROM distinct_sets
 ), pairs AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {t} * (a.n + b.n - count(*))
 ), links AS (
   SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
 ), reach AS (
@@ -186,8 +191,10 @@ WITH RECURSIVE words AS (
   SELECT sets.doc_id, len(sets.s) AS n_shingles, least.component_id
   FROM sets LEFT JOIN distinct_sets d ON list_sort(sets.s) = d.s LEFT JOIN least ON least.a = d.doc_id
 )
-SELECT doc_id, n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept FROM own
+SELECT doc_id, n_shingles, coalesce(component_id, doc_id) AS component_id{kept} FROM own
 """
+NEAR_DEDUP_SQL = SHINGLE_SQL.format(w=5, t=75, kept=", doc_id = coalesce(component_id, doc_id) AS kept")
+NGRAM_SQL = SHINGLE_SQL.format(w=4, t=85, kept="")
 
 
 #: crc32 is spelled out: a table of 256 remainders, then one step a byte.
@@ -270,4 +277,4 @@ LEFT JOIN written w ON w.conv_id IS NOT DISTINCT FROM c.conv_id
 
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express."""
-    return {"op2_nearest": NEAREST_SQL, "op6_chat_format": CHAT_SQL, "op10_near_dedup": NEAR_DEDUP_SQL, "op12_conversation_repair": REPAIR_SQL}
+    return {"op2_nearest": NEAREST_SQL, "op6_chat_format": CHAT_SQL, "op10_near_dedup": NEAR_DEDUP_SQL, "op11_ngram_join": NGRAM_SQL, "op12_conversation_repair": REPAIR_SQL}
