@@ -191,19 +191,45 @@ def lists(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     return rows.mapInArrow(_shared, "token long, node long")
 
 
-def hub_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(a, b): each node with the hub of most of its lists; a list's hub is the node of which the
-    largest share of tokens is in lists. ``members`` are saved."""
-    share = members.groupBy("node").agg(F.count("*").alias("k")).join(sizes, "node")
+def _similar_size(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return 100 * np.minimum(x, y) >= SIMILARITY * np.maximum(x, y)
+
+
+def _near(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether parity bitmaps (rows of 64-bit words) of sets with ``n`` tokens together may be similar.
+
+    With intersection >= s * union at most (1 - s) / (1 + s) of all tokens differ, and each
+    differing bit takes one of those.
+    """
+    apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return (100 + SIMILARITY) * apart <= (100 - SIMILARITY) * n
+
+
+def _words(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), BITMAP // 64)
+
+
+def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for batch in batches:
+        n, m = (np.asarray(batch.column(c)) for c in ("n", "m"))
+        near = _similar_size(n, m) & _near(_words(batch.column("x")), _words(batch.column("y")), n + m)
+        kept = batch.filter(pa.array(near))
+        yield batch_of(schema, [kept.column("a"), kept.column("b")])
+
+
+def hub_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): each node with the hub of most of its lists, if size and bitmap let them be similar; a
+    list's hub is the node of which the largest share of tokens is in lists. ``members`` are saved."""
+    share = members.groupBy("node").agg(F.count("*").alias("k")).join(nodes.select("node", "n_shingles"), "node")
     share = share.select("node", (F.col("k") / F.col("n_shingles")).alias("share"))
     hubs = members.join(share, "node").groupBy("token").agg(F.max_by("node", F.struct("share", "node")).alias("hub"))
     both = members.join(hubs, "token").where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("k"))
     best = both.groupBy("node").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
-    return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-
-
-def _similar_size(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return 100 * np.minimum(x, y) >= SIMILARITY * np.maximum(x, y)
+    pairs = best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    for end, n, bits in (("a", "n", "x"), ("b", "m", "y")):
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("n_shingles").alias(n), F.col("bitmap").alias(bits)), end)
+    return pairs.select("a", "b", "n", "m", "x", "y").mapInArrow(_near_pairs, "a long, b long")
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,9 +255,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = i[x], right[y]
             for cut in range(0, len(x), 1 << 16):
                 p, q = x[cut : cut + (1 << 16)], y[cut : cut + (1 << 16)]
-                apart = np.bitwise_count(bitmap[p] ^ bitmap[q]).sum(1, dtype=np.int64)
-                # with intersection >= s * union at most (1 - s) / (1 + s) of all tokens differ
-                near = (100 + SIMILARITY) * apart <= (100 - SIMILARITY) * (n[p] + n[q])
+                near = _near(bitmap[p], bitmap[q], n[p] + n[q])
                 if near.any():
                     ends = np.column_stack([node[p[near]], node[q[near]]])
                     found.append(np.unique(np.sort(ends, axis=1), axis=0))
@@ -242,7 +266,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         number = np.column_stack([np.asarray(batch.column(c)).astype(np.int64) for c in names])
-        bitmap = np.frombuffer(b"".join(batch.column("bitmap").to_pylist()), np.uint64).reshape(len(number), -1)
+        bitmap = _words(batch.column("bitmap"))
         begins = np.append(0, np.flatnonzero((number[1:, :3] != number[:-1, :3]).any(1)) + 1)
         for at, end in zip(begins.tolist(), [*begins[1:].tolist(), len(number)], strict=True):
             if open_group and (open_group[0][0][0, :3] != number[at, :3]).any():
@@ -347,7 +371,7 @@ def links(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFrame |
     members = saved(lists(docs, levels))
     if members.isEmpty():
         return None
-    first = compact(saved(hub_pairs(members, nodes.select("node", "n_shingles"))), PAIRS_PER_PART)
+    first = compact(saved(hub_pairs(members, nodes)), PAIRS_PER_PART)
     linked = confirmed(first, docs, nodes, levels)
     labels = compact(saved(connected(linked)), EDGES_PER_PART)
     rest = saved(cross_pairs(members, labels, nodes).join(first, ["a", "b"], "left_anti"))
