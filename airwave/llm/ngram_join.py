@@ -8,8 +8,8 @@ whole powers of two) and differ in how they order tokens that are alike in that.
 The first order makes candidates: nodes that share a prefix token lie in one list. A node is first
 tried against one other, the hub of most of its lists. Linked nodes are one component, and lists in
 which one component is left need no further look. In the other lists nodes of different components
-are compared in blocks, by size and by a parity bitmap whose differing bits can't outnumber the
-differing tokens; a list with many nodes is cut into blocks that meet pair by pair. What passes must
+are compared in blocks, by size and by parity bitmaps (as many bits as the set has tokens) whose differing
+bits can't outnumber the differing tokens; a list with many nodes is cut into blocks that meet pair by pair. What passes must
 share prefix tokens under all other orders as well, and is then confirmed on full sets. All filters
 are necessary conditions, so no link between components is lost.
 
@@ -37,14 +37,17 @@ WIDTH = 4
 #: In hundredths: linked with 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 85
 ORDERS = 3
-#: Bits of the parity bitmap; buckets of the token counts: four a document, between these powers.
-BITMAP = 512
+#: Bits of a parity bitmap, least and most.
+BITMAP = (512, 1 << 15)
+#: Buckets of the token counts: four a document, between these powers of two.
 BUCKETS = (16, 22)
 CHUNK = 4096
 #: Nodes of a list that are compared at once; larger lists are cut into blocks of about so many.
 BLOCK = 1024
 #: Nodes that a task remembers, so as not to write the postings of equal sets again.
 REMEMBERED = 1 << 20
+#: Pairs whose ends (8 bytes each) are broadcast.
+BROADCAST_PAIRS = 200_000
 EDGES_PER_PART, PAIRS_PER_PART = 200_000, 20_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -66,13 +69,16 @@ def _nodes(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _parities(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Of each set: for every bit, whether an odd number of its tokens falls on it."""
-    n = len(first) - 1
-    row = np.repeat(np.arange(n), np.diff(first))
-    bit = (mixed(values ^ np.uint64(BITMAP)) % np.uint64(BITMAP)).astype(np.int64)
-    odd = np.bincount(row * BITMAP + bit, minlength=n * BITMAP) & 1
-    return np.packbits(odd.reshape(n, BITMAP).astype(np.uint8), axis=1)
+def _parities(values: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Of each set: for every bit, whether an odd number of its tokens falls on it. As many bits as
+    the next power of two above its tokens, within BITMAP."""
+    count = np.diff(first)
+    bits = 1 << np.ceil(np.log2(np.clip(count, *BITMAP))).astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum(bits)])
+    row = np.repeat(np.arange(len(count)), count)
+    place = (mixed(values ^ np.uint64(ORDERS)) & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.packbits((np.bincount(begin[row] + place, minlength=begin[-1]) & 1).astype(np.uint8))
+    return [odd[i:j].tobytes() for i, j in zip(begin[:-1] // 8, begin[1:] // 8, strict=True)]
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -107,7 +113,7 @@ def _sign(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBat
         values, first = _sets(batch)
         counts += np.bincount((values & np.uint64(len(counts) - 1)).astype(np.int64), minlength=len(counts))
         node, size = _nodes(values, first), np.diff(first)
-        bitmaps = [row.tobytes() for row in _parities(values, first)]
+        bitmaps = _parities(values, first)
         nothing = pa.nulls(len(size), pa.int32()), pa.nulls(len(size), pa.binary())
         yield batch_of(schema, [batch.column("doc_id"), batch.column("text_hash"), size, pa.array(node.view(np.int64), mask=size == 0), bitmaps, *nothing])
     chunks = counts.reshape(-1, CHUNK)
@@ -205,15 +211,24 @@ def _near(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     return (100 + SIMILARITY) * apart <= (100 - SIMILARITY) * n
 
 
-def _words(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), BITMAP // 64)
+def _folded(bitmaps: list[bytes], width: int) -> np.ndarray:
+    """Bitmaps folded to ``width`` bytes, as rows of 64-bit words: halves joined by exclusive or are the
+    bitmap of half the bits."""
+    out = np.zeros((len(bitmaps), width // 8), np.uint64)
+    for i, bitmap in enumerate(bitmaps):
+        np.bitwise_xor.reduce(np.frombuffer(bitmap, np.uint64).reshape(-1, width // 8), axis=0, out=out[i])
+    return out
 
 
 def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     for batch in batches:
         n, m = (np.asarray(batch.column(c)) for c in ("n", "m"))
-        near = _similar_size(n, m) & _near(_words(batch.column("x")), _words(batch.column("y")), n + m)
+        near = _similar_size(n, m)
+        x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
+        for i in np.flatnonzero(near).tolist():
+            width = min(len(x[i]), len(y[i]))
+            near[i] = _near(_folded([x[i]], width), _folded([y[i]], width), n[i : i + 1] + m[i : i + 1])[0]
         kept = batch.filter(pa.array(near))
         yield batch_of(schema, [kept.column("a"), kept.column("b")])
 
@@ -242,7 +257,19 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def pairs(group: list[tuple]) -> None:
         nonlocal count
         number = np.concatenate([g[0] for g in group])
-        bitmap = np.concatenate([g[1] for g in group])
+        bitmaps = [b for g in group for b in g[1]]
+        width = np.array([len(b) for b in bitmaps])
+        folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def rows_of(w: int) -> tuple[np.ndarray, np.ndarray]:
+            """Bitmaps of w bytes of the rows that have so many or twice as many, and each row's place."""
+            if w not in folded:
+                some = np.flatnonzero((width == w) | (width == 2 * w))
+                place = np.zeros(len(width), np.int64)
+                place[some] = np.arange(len(some))
+                folded[w] = _folded([bitmaps[i] for i in some], w), place
+            return folded[w]
+
         own, node, label, n = (number[:, names.index(c)] for c in ("own", "node", "label", "n_shingles"))
         one, other = number[0, 1], number[0, 2]
         left, right = np.flatnonzero(own == one), np.flatnonzero(own == other)
@@ -255,7 +282,13 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = i[x], right[y]
             for cut in range(0, len(x), 1 << 16):
                 p, q = x[cut : cut + (1 << 16)], y[cut : cut + (1 << 16)]
-                near = _near(bitmap[p], bitmap[q], n[p] + n[q])
+                near = np.zeros(len(p), bool)
+                least = np.minimum(width[p], width[q])
+                for w in np.unique(least).tolist():
+                    rows, place = rows_of(w)
+                    own_width = least == w
+                    u, v = p[own_width], q[own_width]
+                    near[own_width] = _near(rows[place[u]], rows[place[v]], n[u] + n[v])
                 if near.any():
                     ends = np.column_stack([node[p[near]], node[q[near]]])
                     found.append(np.unique(np.sort(ends, axis=1), axis=0))
@@ -266,7 +299,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         number = np.column_stack([np.asarray(batch.column(c)).astype(np.int64) for c in names])
-        bitmap = _words(batch.column("bitmap"))
+        bitmap = batch.column("bitmap").to_pylist()
         begins = np.append(0, np.flatnonzero((number[1:, :3] != number[:-1, :3]).any(1)) + 1)
         for at, end in zip(begins.tolist(), [*begins[1:].tolist(), len(number)], strict=True):
             if open_group and (open_group[0][0][0, :3] != number[at, :3]).any():
@@ -324,7 +357,8 @@ def token_sets(docs: DataFrame, needed: DataFrame, levels: np.ndarray) -> DataFr
     rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("needed"), "text")
     rows = rows.withColumn("place", F.pmod(F.xxhash64("needed"), F.lit(8 * len(bits))))
     sets = rows.mapInArrow(run, "needed long, tokens binary, prefixes binary")
-    return sets.join(wanted, "needed").groupBy("node").agg(F.first("tokens").alias("tokens"), F.first("prefixes").alias("prefixes"))
+    once = sets.groupBy("needed").agg(F.first("tokens").alias("tokens"), F.first("prefixes").alias("prefixes"))
+    return once.join(wanted, "needed").select("node", "tokens", "prefixes")
 
 
 def _under_all_orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,14 +389,21 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFrame:
     """The pairs (a, b), saved, that are similar: first by the prefixes under the other orders, then by
     their full sets."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = saved(token_sets(docs, nodes.join(ends, "node", "left_semi").select("node", "doc_id", "text_hash"), levels))
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        """The pairs' nodes; broadcast where they are known to be few."""
+        out = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return F.broadcast(out) if pairs.count() <= BROADCAST_PAIRS else out
+
+    needed = nodes.join(ends(pairs), "node", "left_semi").select("node", "doc_id", "text_hash")
+    sets = saved(token_sets(docs, needed, levels))
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
-        x, y = (sets.select(F.col("node").alias(end), F.col(column).alias(name)) for end, name in (("a", "x"), ("b", "y")))
+        own = sets.join(ends(pairs), "node", "left_semi")
+        x, y = (own.select(F.col("node").alias(end), F.col(column).alias(name)) for end, name in (("a", "x"), ("b", "y")))
         return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
 
-    left = with_both(pairs, "prefixes").mapInArrow(_under_all_orders, "a long, b long")
+    left = saved(with_both(pairs, "prefixes").mapInArrow(_under_all_orders, "a long, b long"))
     return saved(with_both(left, "tokens").mapInArrow(_confirm, "a long, b long"))
 
 
