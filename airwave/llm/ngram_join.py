@@ -5,7 +5,8 @@ node. If two sets are similar enough, their prefixes share a token under every o
 The orders here put rare tokens first (by a count of all documents' tokens in hashed buckets, as
 whole powers of two) and differ in how they order tokens that are alike in that.
 
-The first order makes candidates: nodes that share a prefix token lie in one list. A node is first
+The first order makes candidates: nodes that share a prefix token lie in one list. Its prefixes are
+longer, by a third, so that similar sets share a fourth of them: nodes that share less go. A node is first
 tried against one other, the hub of most of its lists. Linked nodes are one component, and lists in
 which one component is left need no further look. In the other lists nodes of different components
 are compared in blocks, by size and by parity bitmaps (as many bits as the set has tokens) whose differing
@@ -22,6 +23,7 @@ no rows; very long texts are cut at blanks while their words are read; other col
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,6 +88,11 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - (SIMILARITY * n + 99) // 100 + 1
 
 
+def least_shared(n: np.ndarray) -> np.ndarray:
+    """Prefixes of the first order are longer by so many tokens, less one, and share that many."""
+    return np.maximum(1, prefix_length(n) // 3)
+
+
 def _prefixes(values: np.ndarray, first: np.ndarray, levels: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """(tokens, set): the prefix of each set under an order."""
     level = levels[(values & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.uint64)
@@ -95,13 +102,23 @@ def _prefixes(values: np.ndarray, first: np.ndarray, levels: np.ndarray, order:
     row = np.repeat(np.arange(len(count)), count)
     sorted_ = np.lexsort((key, row))
     place = np.arange(len(values)) - first[:-1][row]
-    keep = place < prefix_length(count)[row]
+    length = prefix_length(count) + (least_shared(count) - 1 if order == 0 else 0)
+    keep = place < length[row]
     return values[sorted_][keep], row[keep]
 
 
 SIGNED = "doc_id long, text_hash long, n_shingles long, node long, bitmap binary, chunk int, counts binary"
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts as planes of bytes, most of which are zero."""
+    return zlib.compress(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(counts), np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
+
+
 def _sign(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """A row for each document; at the end the task's counts of tokens by bucket, in chunks."""
     schema = pa.schema(
@@ -119,7 +136,7 @@ def _sign(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBat
     chunks = counts.reshape(-1, CHUNK)
     some = np.flatnonzero(chunks.any(1))
     none = [pa.nulls(len(some), f.type) for f in list(schema)[:5]]
-    yield batch_of(schema, [*none, some.astype(np.int32), [chunks[i].astype("<u4").tobytes() for i in some]])
+    yield batch_of(schema, [*none, some.astype(np.int32), [_packed(chunks[i]) for i in some]])
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -133,7 +150,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            total[chunk] = total.get(chunk, 0) + np.frombuffer(counts, "<u4").astype(np.int64)
+            total[chunk] = total.get(chunk, 0) + _unpacked(counts)
     levels = [np.log2(c + 1).astype(np.uint8).tobytes() for c in total.values()]
     yield batch_of(pa.schema([("chunk", pa.int32()), ("levels", pa.binary())]), [list(total), levels])
 
@@ -191,10 +208,19 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(schema, [rows[keep, 0], rows[keep, 1]])
 
 
-def lists(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Lists of the nodes that share a prefix token, as rows (token, node)."""
+def lists(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFrame:
+    """Lists of the nodes that share a prefix token, as rows (token, node).
+
+    Nodes go that share fewer tokens than they must share with the smallest set that may be similar:
+    a passage that many documents share doesn't make them candidates.
+    """
     rows = postings(docs, levels).repartition("token").sortWithinPartitions("token", "node")
-    return rows.mapInArrow(_shared, "token long, node long")
+    rows = saved(rows.mapInArrow(_shared, "token long, node long"))
+    smallest = F.ceil(F.col("n_shingles") * SIMILARITY / 100)
+    length = smallest - F.ceil(smallest * SIMILARITY / 100) + 1
+    least = F.greatest(F.lit(1), F.floor(length / 3))
+    enough = rows.groupBy("node").agg(F.count("*").alias("k")).join(nodes, "node").where(F.col("k") >= least)
+    return rows.join(enough.select("node"), "node", "left_semi").select("token", "node")
 
 
 def _similar_size(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -409,7 +435,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, levels: np.nd
 
 def links(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFrame | None:
     """(node, label) of all nodes with links; None if there are none. ``nodes`` are saved."""
-    members = saved(lists(docs, levels))
+    members = saved(lists(docs, nodes.select("node", "n_shingles"), levels))
     if members.isEmpty():
         return None
     first = compact(saved(hub_pairs(members, nodes)), PAIRS_PER_PART)

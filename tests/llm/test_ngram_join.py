@@ -100,7 +100,14 @@ def test_similar_sets_share_a_prefix_token_under_every_order():
             assert ngram_join._near(p, q, np.array([len(x) + len(y)])).all()
         for order in range(ngram_join.ORDERS):
             p, q = (ngram_join._prefixes(v, np.array([0, len(v)]), levels, order)[0] for v in (x, y))
-            assert len(p) == ngram_join.prefix_length(len(x)) and len(np.intersect1d(p, q))
+            shared = np.minimum(*(ngram_join.least_shared(len(v)) for v in (x, y))) if order == 0 else 1
+            assert len(p) == ngram_join.prefix_length(len(x)) + (ngram_join.least_shared(len(x)) - 1) * (order == 0)
+            assert len(np.intersect1d(p, q)) >= shared >= (ngram_join.least_shared(-(-85 * len(x) // 100)) if order == 0 else 1)
+
+
+def test_counts_are_packed_without_loss():
+    counts = np.append(np.arange(4095), 1 << 40)
+    assert (ngram_join._unpacked(ngram_join._packed(counts)) == counts).all()
 
 
 def test_key_bits_hold_every_key(spark):
