@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airwave.operators.kpi import with_type
@@ -53,24 +53,35 @@ def sorted_dictionary(dictionary: DataFrame) -> DataFrame:
 def channel_by_frame(log: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Use of each channel per date and time frame, beside the totals of the frame.
 
-    Takes (uid, date, time_frame, channel_name, remain_time). Rows collapse to one per
-    frame, channel and user first; both the channel rows and the totals read that shuffle.
+    Takes (uid, date, time_frame, channel_name, remain_time). Each row stands for its channel and for
+    its frame as a whole, told apart by ``total``, a grouping key: rows collapse to one per frame,
+    channel (or none) and user, and one shuffle sums both levels.
     """
     frame = ["date", "time_frame"]
-    base = log.groupBy(*frame, "channel_name", "uid").agg(
+    name = F.col("channel_name")
+    both = [
+        F.struct(F.lit(total).alias("total"), (F.lit(None).cast("string") if total else name).alias("channel_name"))
+        for total in (False, True)
+    ]
+    levels = log.select(*frame, "uid", "remain_time", F.explode(F.array(*both)).alias("l"))
+    per_user = levels.select(*frame, "uid", "remain_time", "l.*").groupBy(*frame, "total", "channel_name", "uid").agg(
         F.sum("remain_time").alias("used"), F.count("remain_time").alias("n")
     )
-    # Drops nothing: the totals do not need n, but must ask for it to read the same shuffle.
-    base = base.filter("n >= 0")
-    channels = base.groupBy(*frame, "channel_name").agg(
-        (F.sum("used") / F.sum("n")).alias("time_use_avg"),
-        F.sum("used").alias("time_use_sum"),
-        F.count("uid").alias("user_num"),
+    sums = per_user.groupBy(*frame, "total", "channel_name").agg(
+        F.sum("used").alias("used"), F.sum("n").alias("n"), F.count("uid").alias("user_num")
     )
-    totals = base.groupBy(*frame).agg(
-        F.sum("used").alias("all_time_use"), F.count_distinct("uid").alias("all_user_num")
+    # One row per channel of a frame: the totals come beside them.
+    whole = F.max(F.when(F.col("total"), F.struct("used", "user_num"))).over(Window.partitionBy(*frame))
+    channels = sums.withColumn("t", whole).filter(~F.col("total")).select(
+        *frame,
+        "channel_name",
+        (F.col("used") / F.col("n")).alias("time_use_avg"),
+        F.col("used").alias("time_use_sum"),
+        "user_num",
+        F.col("t.used").alias("all_time_use"),
+        F.col("t.user_num").alias("all_user_num"),
     )
-    return with_type(channels.join(totals, frame, "left"), dictionary).select(
+    return with_type(channels, dictionary).select(
         *frame,
         "channel_name",
         "channel_type",

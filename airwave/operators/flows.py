@@ -27,7 +27,7 @@ from airwave.functions.ratios import minutes
 ACTIVE, PREVIOUS, KNOWN = "active", "previous", "known"
 
 
-def _bounds(grain: Grain, first, last) -> tuple[Column, Column]:
+def bounds(grain: Grain, first, last) -> tuple[Column, Column]:
     ends = (day if isinstance(day, Column) else F.lit(str(day)).cast("date") for day in (first, last))
     start, end = (period_start(grain, day) for day in ends)
     return start, end
@@ -37,6 +37,21 @@ def _one(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0).cast("long")
 
 
+def flow_marks(grain: Grain, line) -> dict[str, Column]:
+    """What a user's state in a period counts for, 0 or 1: a user, reached for the first time, entering,
+    leaving. ``line`` is the window of the user's states (period, role) in order."""
+    so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    role, period = F.col("role"), F.col("period")
+    earlier, later = F.lag("period").over(line), F.lead("period").over(line)
+    counting = F.when(role != PREVIOUS, 1)
+    return {
+        "users": _one(role != KNOWN),
+        "reached": _one((role != PREVIOUS) & (F.count(counting).over(so_far) == 1)),
+        "entering": _one((role == ACTIVE) & (earlier.isNull() | (earlier != shift_period(grain, period, -1)))),
+        "leaving": _one((role != KNOWN) & (later.isNull() | (later != shift_period(grain, period, 1)))),
+    }
+
+
 def period_summary(
     viewing: DataFrame,
     grain: Grain,
@@ -69,7 +84,7 @@ def period_summary(
     each, ``n_flagged`` of them with the flag (see ``kpi.counted_requests``).
     """
     spark = viewing.sparkSession
-    start, end = _bounds(grain, first, last)
+    start, end = bounds(grain, first, last)
     before, long_before = shift_period(grain, start, -1), shift_period(grain, start, -2)
     period = start_of_key(grain, F.col(grain.name)) if own_key else period_start(grain, F.col("day"))
     rows = viewing.withColumn("period", period)
@@ -108,22 +123,10 @@ def period_summary(
         )
     states = reduce(DataFrame.unionByName, parts)
 
-    line = Window.partitionBy("uid").orderBy("period")
-    so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    role, period = F.col("role"), F.col("period")
-    earlier, later = F.lag("period").over(line), F.lead("period").over(line)
-    counting = F.when(role != PREVIOUS, 1)
+    marks = flow_marks(grain, Window.partitionBy("uid").orderBy("period"))
     flows = states.select(
         "period",
-        _one(role != KNOWN).alias("users"),
-        _one((role != PREVIOUS) & (F.count(counting).over(so_far) == 1)).alias("reached"),
-        _one(
-            (role == ACTIVE)
-            & (earlier.isNull() | (earlier != shift_period(grain, period, -1)))
-        ).alias("entering"),
-        _one(
-            (role != KNOWN) & (later.isNull() | (later != shift_period(grain, period, 1)))
-        ).alias("leaving"),
+        *[mark.alias(name) for name, mark in marks.items()],
         "seconds",
         "requests",
         F.lit(0).cast("long").alias("shows"),
@@ -159,8 +162,8 @@ def period_summary(
     columns.append(minutes(F.col("seconds")).alias("time_in_use"))
     if demand:
         columns.append(F.col("shows").alias("all_show_num"))
-    summary = counts.select("period", *columns).filter(period >= start)
-    key = period_key(grain, period).alias(grain.name)
+    summary = counts.select("period", *columns).filter(F.col("period") >= start)
+    key = period_key(grain, F.col("period")).alias(grain.name)
     return summary.select(key, *[c for c in summary.columns if c != "period"])
 
 

@@ -95,9 +95,10 @@ def request_times(viewing: DataFrame, keys: list[str]) -> DataFrame:
     return viewing.filter("flag").groupBy(*keys).agg(F.count("*").alias("request_times"))
 
 
-def _reported(
+def reported(
     dictionary: DataFrame, business: Business, kinds: tuple[str, ...] | None
 ) -> DataFrame:
+    """Names of the reported types, one type per name."""
     unique = unique_dictionary(dictionary)
     return unique.filter(F.col(business.kind).isin(*(kinds or business.kinds)))
 
@@ -116,7 +117,13 @@ def _measures(
     ``totals`` has one row per period (at most 24 per day of the calendar), whatever the
     size of the data; the engine broadcasts what it finds small.
     """
-    joined = grouped.join(totals, list(grain.keys), "left")
+    return with_totals(grouped.join(totals, list(grain.keys), "left"), grain, business, names, prefix, weight)
+
+
+def with_totals(
+    joined: DataFrame, grain: Grain, business: Business, names: list[str], prefix: str, weight: float
+) -> DataFrame:
+    """The KPI columns of groups that stand beside their period's totals."""
     mine = minutes(F.col("group_seconds"))
     users, cover = F.col("group_users"), F.col("cover_user_num")
     all_users, all_minutes = F.col("user_num"), F.col("time_in_use")
@@ -133,7 +140,7 @@ def _measures(
         shown(mine).alias(f"{prefix}_time_in_use"),
         users.alias(f"{prefix}_user_num"),
     ]
-    if "group_items" in grouped.columns:
+    if "group_items" in joined.columns:
         columns.append(shown(ratio(F.col("group_items"), F.col("all_show_num"))).alias("show_num_pct"))
     return joined.select(*columns, shown(all_minutes).alias("time_in_use"), all_users)
 
@@ -149,7 +156,7 @@ def type_report(
     weight: float = WEIGHT,
 ) -> DataFrame:
     """KPIs per period and type, for the reported types."""
-    known = _reported(dictionary, business, kinds)
+    known = reported(dictionary, business, kinds)
     counts = [
         F.count_distinct("uid").alias("group_users"),
         F.sum("seconds").alias("group_seconds"),
@@ -176,7 +183,7 @@ def item_report(
 
     The dictionary joins the grouped rows: one per period and item, so no name is hot.
     """
-    known = _reported(dictionary, business, kinds)
+    known = reported(dictionary, business, kinds)
     items = [business.item] + (["program_name"] if programs else [])
     grouped = (
         per_user(viewing, grain, items)
@@ -248,9 +255,16 @@ def hour_summary_report(
         .agg(*counts)
         .join(cover.select("day", "cover_user_num"), "day", "left")
     )
-    users, used = F.col("user_num"), minutes(F.col("seconds"))
+    requests = F.col("n_requests") if business is DEMAND else F.lit(0).cast("long")
+    totals = totals.withColumns({"time_in_use": minutes(F.col("seconds")), "requests": requests})
+    return hour_summary_shown(totals, business)
+
+
+def hour_summary_shown(totals: DataFrame, business: Business) -> DataFrame:
+    """The overview's columns, from user_num, time_in_use, cover_user_num and requests of each hour."""
+    users, used = F.col("user_num"), F.col("time_in_use")
     if business is DEMAND:
-        count = F.nullif(F.col("n_requests"), F.lit(0))
+        count = F.nullif(F.col("requests"), F.lit(0))
         each = shown(F.coalesce(ratio(used, count), F.lit(0.0)))
         requests = [
             count.alias("request_times"),

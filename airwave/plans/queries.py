@@ -21,7 +21,7 @@ from airwave.functions.calendar import (
     with_calendar_keys,
 )
 from airwave.functions.text import clean_channel, known_or_mark, tsv_lines
-from airwave.operators import clean, extracts, flows, kpi, layout, overview, viewing
+from airwave.operators import clean, extracts, flows, kpi, layout, levels, overview, viewing
 from airwave.sources import logs, records, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,11 +81,6 @@ def demand_hour_summary(spark: SparkSession, d: str, grain: Grain) -> DataFrame:
     )
 
 
-def demand_hour_cover(spark: SparkSession, d: str, seen: DataFrame) -> DataFrame:
-    """Users reached by each day; the distinct requests of the hours tell them."""
-    return flows.period_summary(seen, DAY, *live_days(spark, d), trimmed=True)
-
-
 # Scans.
 
 def parse_raw_log(spark, d):
@@ -220,22 +215,18 @@ def moved_in_day(spark, d, entering: bool = True):
 def live_summary_report(grain: Grain, spark, d):
     hours = live_hours(spark, d)
     if grain is HOUR:
-        cover = live_summary(spark, d, hours, DAY)
-        return kpi.hour_summary_report(viewing.split_hours(hours), cover, kpi.LIVE)
+        return levels.hour_summary(levels.live_pieces(hours), *live_days(spark, d), kpi.LIVE)
     return kpi.summary_report(live_summary(spark, d, hours, grain), grain, kpi.LIVE)
 
 
 def live_group_report(report, grain: Grain, spark, d, **options):
     hours = live_hours(spark, d)
-    if grain is HOUR:
-        rows = viewing.split_hours(hours)
-        totals = kpi.hour_totals(rows, live_summary(spark, d, hours, DAY))
-    else:
-        rows = kpi.per_user(hours, grain, ["channel_name"])
-        totals = flows.period_summary(
-            rows, grain, *live_days(spark, d), own_key=True, trimmed=True
-        )
     dictionary = tables.channel_dictionary(spark)
+    if grain is HOUR:
+        one_pass = levels.hour_type_report if report is kpi.type_report else levels.hour_item_report
+        return one_pass(levels.live_pieces(hours), dictionary, *live_days(spark, d), kpi.LIVE, **options)
+    rows = kpi.per_user(hours, grain, ["channel_name"])
+    totals = flows.period_summary(rows, grain, *live_days(spark, d), own_key=True, trimmed=True)
     return report(rows, dictionary, totals, grain, kpi.LIVE, **options)
 
 
@@ -253,7 +244,7 @@ def enrich_type(spark, d):
 def demand_summary_report(grain: Grain, spark, d):
     if grain is HOUR:
         seen = kpi.distinct_requests(tables.demand_hours(spark, d), HOUR)
-        return kpi.hour_summary_report(seen, demand_hour_cover(spark, d, seen), kpi.DEMAND)
+        return levels.hour_summary(levels.request_piece(seen), *live_days(spark, d), kpi.DEMAND)
     summary = demand_summary(spark, d, demand_requests(spark, d, grain), grain)
     return kpi.summary_report(summary, grain, kpi.DEMAND)
 
@@ -261,16 +252,12 @@ def demand_summary_report(grain: Grain, spark, d):
 def demand_group_report(report, grain: Grain, spark, d):
     if grain is HOUR:
         seen = kpi.distinct_requests(tables.demand_hours(spark, d), HOUR)
-        totals = kpi.hour_totals(seen, demand_hour_cover(spark, d, seen), shows="show_name")
-        return report(seen, tables.hour_show_dictionary(spark), totals, grain, kpi.DEMAND)
-    requests = demand_requests(spark, d, grain)
-    return report(
-        requests,
-        tables.show_dictionary(spark, d),
-        demand_summary(spark, d, requests, grain),
-        grain,
-        kpi.DEMAND,
-        kinds=tables.PART_TYPES,
+        one_pass = levels.hour_type_report if report is kpi.type_report else levels.hour_item_report
+        return one_pass(levels.request_piece(seen), tables.hour_show_dictionary(spark), *live_days(spark, d), kpi.DEMAND)
+    one_pass = levels.type_report if report is kpi.type_report else levels.item_report
+    return one_pass(
+        demand_requests(spark, d, grain), tables.show_dictionary(spark, d), grain, *demand_days(spark, d),
+        kpi.DEMAND, kinds=tables.PART_TYPES, seed_cover=tables.base_users(spark, d),
     )
 
 

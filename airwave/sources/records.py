@@ -72,8 +72,12 @@ def dropped_lines(lines: DataFrame, layout, separator: str = "\t") -> int:
 
 
 def parse_prototype(lines: DataFrame) -> DataFrame:
-    """Columns of the space-separated prototype log; lines with an unreadable field are dropped."""
-    split = lines.filter(F.col("value") != "").select(F.split("value", " ").alias("f"))
+    """Columns of the space-separated prototype log; lines with an unreadable field are dropped.
+
+    As in ``parse_records``, a line is split once.
+    """
+    fields = F.explode(F.array(F.split("value", " "))).alias("f")
+    split = lines.filter(F.col("value") != "").select(fields)
     return split.select(
         *[F.get("f", F.lit(i)).try_cast(kind).alias(n) for n, (i, kind) in PROTOTYPE.items()]
     ).dropna()

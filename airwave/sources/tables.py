@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def first_and_last(spark: SparkSession, sf_dir: str, name: str, time: str) -> tuple[Column, Column]:
-    """The first and the last day of a table's times: a scan of that one column, aggregated."""
+    """The first and the last day of a table's times: one scan of that column, aggregated."""
     days = table(spark, sf_dir, name).agg(
-        F.min(time).cast("date").alias("first"), F.max(time).cast("date").alias("last")
-    )
-    return days.select("first").scalar(), days.select("last").scalar()
+        F.struct(F.min(time).cast("date").alias("first"), F.max(time).cast("date").alias("last")).alias("days")
+    ).scalar()
+    return days["first"], days["last"]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
