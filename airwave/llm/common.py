@@ -16,11 +16,28 @@ SLICE_BYTES = 1 << 21
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch on its way to a task's Python worker: whole texts go out, and some come back.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_BYTES at most, unless the session says otherwise.
+
+    Spark's own bound, 64 MB, is held by each task several times: in the JVM, in the worker and, where
+    texts are returned, on the way back.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    small_batches(spark)
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder is None:

@@ -10,7 +10,8 @@ the candidates are linear in the nodes whatever the size of a group. The last ro
 meet the first ones of the next in a second small job, so partitions don't change the candidates.
 
 Candidates whose signatures rule out the similarity are dropped; the others are confirmed on full
-sets, best candidate of each node first. Nodes of a group that met only weaker members are then
+sets, best candidate of each node first: of the next neighbours alone, and then, between the
+components that these have made, of the other neighbours. Nodes of a group that met only weaker members are then
 tried against the best linked node (hub) of that group, and whatever is still open between two
 components is confirmed as well. Components come from large-star and small-star steps.
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, compact, mixed, saved, slices, text_bytes
+from .common import batch_of, compact, key_bits, may_hold, mixed, saved, slices, text_bytes
 from .words import distinct, shingles, words
 
 WIDTH = 5
@@ -45,7 +46,6 @@ MIN_DEPTH = 2
 SKETCH_MATCHES = 36
 #: From here on a pair is likelier than not to be confirmed.
 LIKELY_MATCHES = 48
-FILTER_BITS = (16, 27)
 #: Rows of a partition of the forest, as far as there are shuffle partitions for fewer.
 ROWS_PER_PART = 5_000
 #: Rows of a partition of saved edges, pairs and sets.
@@ -113,7 +113,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
 def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each node and tree: the tree and its first levels as one sortable key, and a sketch."""
-    schema = pa.schema([("key", pa.binary()), ("node", pa.int64()), ("sketch", pa.binary())])
+    schema = pa.schema([("key", pa.binary()), ("node", pa.int64()), ("sketch", pa.binary()), ("label", pa.int64())])
     for batch in batches:
         for row in range(0, batch.num_rows, 4096):
             part = batch.slice(row, 4096)
@@ -123,13 +123,14 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for tree, order in enumerate(_ORDERS):
                 levels = (signature[:, order] & np.uint32(0xFFFF)).astype(">u2")  # low bits: high bits of minima are mostly 0
                 key = np.hstack([np.full((len(levels), 1), tree, np.uint8), np.ascontiguousarray(levels).view(np.uint8)])
-                yield batch_of(schema, [_binary(key), part.column("node"), _binary(sketch)])
+                yield batch_of(schema, [_binary(key), part.column("node"), _binary(sketch), part.column("label")])
 
 
-def _agreeing(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, first: np.ndarray, step: int) -> tuple:
-    """(a, b, agree) of the rows in ``first`` and those ``step`` further that share a prefix and agree."""
+def _agreeing(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, label: np.ndarray, first: np.ndarray, step: int) -> tuple:
+    """(a, b, agree) of the rows in ``first`` and those ``step`` further that share a prefix and agree,
+    and are not known to be of one component."""
     same = key[first, : 1 + 2 * MIN_DEPTH] == key[first + step, : 1 + 2 * MIN_DEPTH]
-    first = first[same.all(1)]
+    first = first[same.all(1) & (label[first] != label[first + step])]
     x = sketch[first] ^ sketch[first + step]
     agree = ((x & 0xF0) == 0).sum(1) + ((x & 0x0F) == 0).sum(1)
     good = agree >= SKETCH_MATCHES
@@ -139,7 +140,9 @@ def _agreeing(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, first: np.n
 
 PAIRS = "a long, b long, agree int"
 #: Rows at the edges of partition ``part``: their place in it and how many rows it has.
-EDGES = "part int, place long, size long, key binary, node long, sketch binary"
+EDGES = "part int, place long, size long, key binary, node long, sketch binary, label long"
+#: A node that agrees with others within NEIGHBOURS places, and with how many values in sum.
+NEAR = "near long, weight long"
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
 
 
@@ -147,16 +150,30 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, _KINDS[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
 
 
-def _forest_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return _bytes(batch.column("key"), 1 + 2 * LEVELS), np.asarray(batch.column("node")), _bytes(batch.column("sketch"), 32)
+def _forest_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return (
+        _bytes(batch.column("key"), 1 + 2 * LEVELS),
+        np.asarray(batch.column("node")),
+        _bytes(batch.column("sketch"), 32),
+        np.asarray(batch.column("label")),
+    )
+
+
+def _weights(found: list[tuple]) -> list[np.ndarray]:
+    """[nodes, sum of their agreements] of (a, b, agree)."""
+    ends = np.concatenate([x for a, b, _ in found for x in (a, b)])
+    agree = np.concatenate([x for _, _, agree in found for x in (agree, agree)])
+    nodes, at = np.unique(ends, return_inverse=True)
+    return [nodes, np.bincount(at, agree, len(nodes)).astype(np.int64)]
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a row and the next ones in its partition, and the partition's first and last rows."""
+def _neighbours(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a row and the ``steps`` next ones in its partition, how much nodes agree with the
+    NEIGHBOURS next ones, and the partition's first and last rows."""
     from pyspark import TaskContext
 
-    pairs, edges = _schema(PAIRS), _schema(EDGES)
-    schema = pa.schema([*pairs, *edges])
+    pairs, edges, near = _schema(PAIRS), _schema(EDGES), _schema(NEAR)
+    schema = pa.schema([*pairs, *edges, *near])
 
     def out(part: pa.Schema, columns: list) -> pa.RecordBatch:
         own, n = dict(zip(part.names, columns, strict=True)), len(columns[0])
@@ -175,21 +192,28 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         old = 0 if kept is None else len(kept[0])
         if kept is not None:  # the last rows of the batch before
             rows = tuple(np.concatenate(x) for x in zip(kept, rows, strict=True))
+        agreed = []
         for step in range(1, NEIGHBOURS + 1):
             first = np.arange(max(0, old - step), len(rows[1]) - step)
             if len(first):
-                yield out(pairs, list(_agreeing(*rows, first, step)))
+                found = _agreeing(*rows, first, step)
+                if step <= steps:
+                    yield out(pairs, list(found))
+                agreed.append(found)
+        if agreed:
+            yield out(near, _weights(agreed))
         kept = tuple(x[-NEIGHBOURS:] for x in rows)
     if size:
         last = min(len(kept[1]), size - len(head[1]))  # what isn't among the first rows
         place = np.concatenate([np.arange(len(head[1])), np.arange(size - last, size)])
-        key, node, sketch = (np.concatenate([x, y[len(y) - last :]]) for x, y in zip(head, kept, strict=True))
+        key, node, sketch, label = (np.concatenate([x, y[len(y) - last :]]) for x, y in zip(head, kept, strict=True))
         part = np.full(len(place), TaskContext.get().partitionId(), np.int32)
-        yield out(edges, [part, place, np.full(len(place), size), _binary(key), node, _binary(sketch)])
+        yield out(edges, [part, place, np.full(len(place), size), _binary(key), node, _binary(sketch), label])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of neighbours in different partitions, from all partitions' edges in order."""
+def _across(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.RecordBatch]:
+    """As ``_neighbours``, of neighbours in different partitions, from all partitions' edges in order."""
+    schema = pa.schema([*_schema(PAIRS), *_schema(NEAR)])
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
@@ -202,40 +226,30 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.arange(max(0, len(part) - step))
         first = first[(part[first] != part[first + step]) & (at[first + step] - at[first] == step)]
         if len(first):
-            yield batch_of(_schema(PAIRS), list(_agreeing(*rows, first, step)))
+            a, b, agree = _agreeing(*rows, first, step)
+            if step <= steps:
+                yield batch_of(schema, [a, b, agree, *[pa.nulls(len(a), pa.int64())] * 2])
+            near, weight = _weights([(a, b, agree)])
+            yield batch_of(schema, [*(pa.nulls(len(near), f.type) for f in list(schema)[:3]), near, weight])
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b, agree), a < b, of neighbours in any of the forest's orders.
+def candidates(nodes: DataFrame, steps: int = NEIGHBOURS) -> tuple[DataFrame, DataFrame]:
+    """(distinct pairs (a, b, agree), a < b, of rows at most ``steps`` apart in any of the forest's
+    orders; (node, weight): how much each node agrees with those within NEIGHBOURS).
 
-    Neighbours at the edges of partitions meet in a second job, of 2 * NEIGHBOURS rows a partition
-    at most, so pairs don't depend on the partitions. ``nodes`` are saved.
+    Pairs of one ``label`` are left out. Neighbours at the edges of partitions meet in a second job, of
+    2 * NEIGHBOURS rows a partition at most, so pairs don't depend on the partitions. ``nodes`` are saved.
     """
-    forest = nodes.select("node", "signature").mapInArrow(_orders, "key binary, node long, sketch binary")
+    forest = nodes.select("node", "signature", "label").mapInArrow(_orders, "key binary, node long, sketch binary, label long")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(parts, -(-TREES * nodes.count() // ROWS_PER_PART)))
     forest = forest.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node")
-    found = saved(forest.mapInArrow(_neighbours, f"{PAIRS}, {EDGES}"))
-    edges = found.where("part is not null").select("part", "place", "size", "key", "node", "sketch")
-    across = edges.coalesce(1).sortWithinPartitions("part", "place").mapInArrow(_across, PAIRS)
-    pairs = found.where("part is null").select("a", "b", "agree").unionByName(across)
-    return pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
-
-
-def _bit_filter(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter with one hash of the ``needed`` column, made by Spark: 8 KB to 16 MB."""
-    n = keys.count()
-    bits = min(max(FILTER_BITS[0], int(np.ceil(np.log2(16 * max(n, 1))))), FILTER_BITS[1])
-    place = F.pmod(F.xxhash64("needed"), F.lit(1 << bits)) + 1  # Spark's bitmaps count from 1
-    marked = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-    )
-    out = np.zeros(1 << bits, bool)
-    for row in marked.toLocalIterator():
-        at = 32768 * (row["bucket"] - 1)
-        found = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
-        out[at : at + len(found)] = found[: len(out) - at]
-    return out
+    found = saved(forest.mapInArrow(lambda batches: _neighbours(batches, steps), f"{PAIRS}, {EDGES}, {NEAR}"))
+    edges = found.where("part is not null").select("part", "place", "size", "key", "node", "sketch", "label")
+    across = edges.coalesce(1).sortWithinPartitions("part", "place").mapInArrow(lambda batches: _across(batches, steps), f"{PAIRS}, {NEAR}")
+    found = found.where("part is null").select("a", "b", "agree", "near", "weight").unionByName(saved(across))
+    pairs = found.where("a is not null").groupBy("a", "b").agg(F.max("agree").alias("agree"))
+    return pairs, found.where("near is not null").groupBy(F.col("near").alias("node")).agg(F.sum("weight").alias("weight"))
 
 
 def shingle_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -245,20 +259,19 @@ def shingle_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text_hash"))
     wanted = saved(needed.select("node", key.alias("needed")))
-    bits = _bit_filter(wanted)
+    bits = key_bits(wanted, "needed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("needed", pa.int64()), ("shingles", pa.binary())])
         for batch in batches:
-            place = np.asarray(batch.column("place"))
-            for part in slices([batch.filter(pa.array(bits[place]))]):
+            for part in slices([batch.filter(pa.array(may_hold(bits, np.asarray(batch.column("place")))))]):
                 values, first = _sets(part)
                 at = (first * 8).astype(np.int32)
                 sets = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(at), pa.py_buffer(values)])
                 yield batch_of(schema, [part.column("needed"), sets])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select(key.alias("needed"), "text")
-    rows = rows.withColumn("place", F.pmod(F.xxhash64("needed"), F.lit(len(bits))).cast("long"))
+    rows = rows.withColumn("place", F.pmod(F.xxhash64("needed"), F.lit(8 * len(bits))))
     sets = rows.mapInArrow(run, "needed long, shingles binary")
     return sets.join(wanted, "needed").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
@@ -353,18 +366,23 @@ def _hubs(labels: DataFrame, central: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
-    """(node, label) of all nodes with links; None if no two nodes are near. ``nodes`` are saved."""
-    pairs = compact(saved(candidates(nodes)), PAIRS_PER_PART)
-    if pairs.isEmpty():
+    """(node, label) of all nodes with links; None if no two nodes are near. ``nodes`` are saved.
+
+    The next neighbour in each order comes first. Once its links have made components, the other
+    neighbours are sought among the nodes that have any, and only between components.
+    """
+    alone = nodes.withColumn("label", F.col("node"))
+    pairs, central = candidates(alone, 1)
+    central = compact(saved(central), EDGES_PER_PART)
+    if central.isEmpty():
         return None
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = saved(shingle_sets(docs, nodes.join(ends, "node", "left_semi").select("node", "doc_id", "text_hash")))
+    pairs = compact(saved(pairs), PAIRS_PER_PART)
+    nodes = saved(nodes.join(central, "node", "left_semi"))
+    sets = saved(shingle_sets(docs, nodes.select("node", "doc_id", "text_hash")))
     sets = compact(sets, SETS_PER_PART)
 
     # first the best candidate of each node, and the hub of the group it is likely to be in
     likely = pairs.where(F.col("agree") >= LIKELY_MATCHES)
-    central = pairs.select(F.explode(F.array("a", "b")).alias("node"), "agree").groupBy("node").agg(F.sum("agree").alias("weight"))
-    central = compact(saved(central), EDGES_PER_PART)
     first = _best(pairs)
     if not likely.isEmpty():
         groups = compact(saved(connected(likely)), EDGES_PER_PART)
@@ -374,6 +392,9 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     linked = tried.where("linked").select("a", "b")
     labels = compact(saved(connected(linked)), EDGES_PER_PART)
 
+    own = nodes.select("node", "signature").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    pairs = compact(saved(candidates(saved(own))[0]), PAIRS_PER_PART)
+
     # a node whose best open candidate is a weaker member of another component, against its hub,
     # while that finds links: at most two pairs for each open node
     while True:

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airwave.llm import chat_format, decontamination, language_id, near_dedup, nearest, packing, pii, sharding, token_counts, toxicity
-from airwave.llm.common import held_out, text_bytes
+from airwave.llm.common import held_out, saved, text_bytes
 from airwave.llm.queries import QUERIES
 from airwave.llm.tokens import tokenizer
 
@@ -151,8 +151,16 @@ def test_near_dedup(spark, docs, odd_docs):
 def test_neighbours_meet_across_partitions(spark, monkeypatch, n):
     base = [f"w{i}" for i in range(200)]
     rows = [(k, " ".join(base[:197] + [f"x{k}"])) for k in range(n)]
-    nodes = near_dedup.signed(spark.createDataFrame(rows, "doc_id long, text string")).localCheckpoint()
-    pairs = lambda: {tuple(r) for r in near_dedup.candidates(nodes).collect()}
+    nodes = saved(near_dedup.signed(spark.createDataFrame(rows, "doc_id long, text string")).withColumn("label", F.col("node")))
+
+    def pairs():
+        every, weights = near_dedup.candidates(nodes)
+        next_ones, same = near_dedup.candidates(nodes, 1)
+        every, next_ones, weights, same = ({tuple(r) for r in x.collect()} for x in (every, next_ones, weights, same))
+        assert weights == same and next_ones <= every
+        assert {node for node, _ in weights} == {x for a, b, _ in every for x in (a, b)}
+        return every
+
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "1")
@@ -161,6 +169,8 @@ def test_neighbours_meet_across_partitions(spark, monkeypatch, n):
         assert pairs() == whole and len(whole) >= n - 1
         monkeypatch.setattr(near_dedup, "ROWS_PER_PART", 1)
         assert pairs() == whole
+        one = nodes.withColumn("label", F.lit(1).cast("long"))
+        assert near_dedup.candidates(one)[0].isEmpty()  # one component: nothing is left to find
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
