@@ -1,14 +1,16 @@
 """File-to-file jobs: the whole chain from raw logs to report tables.
 
 Run one with ``python -m airwave.plans.jobs NAME key=value ...``; each function below is a
-job and its arguments are the keys. Intermediate records are gzip text, one file per task;
-``files`` shuffles them into that many instead. Reports are one text file each.
+job and its arguments are the keys. Jobs hand each other Parquet, viewing records by day, so that a
+report opens the days of its period alone; with ``form=text`` they write and read gzip text, one
+file per task, or ``files`` of them. Reports are one text file each.
 """
 
 from __future__ import annotations
 
 import inspect
 import sys
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,7 @@ from airwave.functions.calendar import (
 from airwave.functions.text import log_time
 from airwave.operators import clean, extracts, flows, kpi, layout, overview
 from airwave.operators import viewing as views
+from airwave.sinks.exchange import EVENTS, PARQUET, TEXT, read_rows, write_events, write_rows
 from airwave.sinks.text import write_reports, write_sorted_summary, write_tsv
 from airwave.sources import logs, records
 
@@ -49,47 +52,56 @@ def _months(first: int, last: int) -> tuple[int, int]:
 # Raw logs to viewing records.
 
 def filter_live(spark, raw: str, out: str, files: int = 0, spread: int = 1,
-                first_month: int = clean.FIRST_MONTH, last_month: int = clean.LAST_MONTH) -> None:
+                first_month: int = clean.FIRST_MONTH, last_month: int = clean.LAST_MONTH,
+                form: str = PARQUET) -> None:
     """With ``files``, viewers are placed by their last digits, each over ``spread`` files."""
     rows = clean.filter_live(_log(spark, raw), _months(first_month, last_month))
     if files:
         rows = layout.partition_by_viewer(rows, files, spread=spread)
-    write_tsv(rows, out, gzip=True)
+    write_events(rows, out, form=form)
 
 
 def find_shutdowns(spark, raw: str, out: str, files: int = 0,
-                   first_month: int = clean.FIRST_MONTH, last_month: int = clean.LAST_MONTH) -> None:
+                   first_month: int = clean.FIRST_MONTH, last_month: int = clean.LAST_MONTH,
+                   form: str = PARQUET) -> None:
     rows = clean.filter_power(_log(spark, raw), _months(first_month, last_month))
-    write_tsv(views.shutdown_times(rows), out, files=files, gzip=True)
+    write_events(views.shutdown_times(rows), out, form=form, files=files)
 
 
-def _stream(spark: SparkSession, path: str) -> DataFrame:
+def _stream(spark: SparkSession, path: str, form: str) -> DataFrame:
+    if form != TEXT:
+        return read_rows(spark, path, EVENTS, form)
     rows = records.read_records(spark, path, records.STREAM)
     timed = rows.withColumn("ts", log_time(F.col("time_text"))).filter(F.col("ts").isNotNull())
     return timed.select("uid", "ts", "channel_name", "program_name")
 
 
-def measure_viewing(spark, live: str, shutdowns: str, out: str, files: int = 0) -> None:
-    dwell = views.dwell_times(_stream(spark, live), _stream(spark, shutdowns))
-    write_tsv(views.hourly_viewing(dwell), out, files=files, gzip=True)
+def measure_viewing(spark, live: str, shutdowns: str, out: str, files: int = 0, form: str = PARQUET) -> None:
+    dwell = views.dwell_times(_stream(spark, live, form), _stream(spark, shutdowns, form))
+    write_rows(views.hourly_viewing(dwell), out, records.LIVE_VIEWING, form=form, files=files)
+
 
+def _viewing(spark: SparkSession, path: str, form: str) -> DataFrame:
+    return read_rows(spark, path, records.LIVE_VIEWING, form)
 
-def split_viewing(spark, viewing: str, out: str, files: int = 0) -> None:
-    rows = records.read_records(spark, viewing, records.LIVE_VIEWING)
-    write_tsv(views.split_hours(rows), out, files=files, gzip=True)
+
+def split_viewing(spark, viewing: str, out: str, files: int = 0, form: str = PARQUET) -> None:
+    pieces = views.split_hours(_viewing(spark, viewing, form))
+    write_rows(pieces, out, records.LIVE_VIEWING, form=form, files=files)
 
 
 def seed_users(spark, viewing: str, out: str, n: int = extracts.SEED_USERS,
-               month: int = 201604, other_month: int = 201605) -> None:
-    rows = records.read_records(spark, viewing, records.LIVE_VIEWING)
-    write_tsv(extracts.first_users(rows, (month, other_month), n), out, files=1)
+               month: int = 201604, other_month: int = 201605, form: str = PARQUET) -> None:
+    rows = _viewing(spark, viewing, form)
+    days = [F.col("day").between(*_days_of(MONTH, m, m)) for m in (month, other_month)]
+    write_tsv(extracts.first_users(rows.filter(days[0] | days[1]), (month, other_month), n), out, files=1)
 
 
 # Period summaries.
 
 def summarize_live(spark, viewing: str, users: str, out: str,
-                   first: str = FIRST_DAY, last: str = LAST_DAY) -> None:
-    rows = records.read_records(spark, viewing, records.LIVE_VIEWING)
+                   first: str = FIRST_DAY, last: str = LAST_DAY, form: str = PARQUET) -> None:
+    rows = _viewing(spark, viewing, form)
     base = records.read_records(spark, users, records.UIDS)
     parts = []
     for grain in (DAY, WEEK, MONTH):
@@ -124,6 +136,23 @@ def summarize_demand(spark, viewing: str, users: str, out: str,
 
 # Reports.
 
+def _days_of(grain, low: int, high: int) -> tuple[date, date]:
+    """First and last day of a range of week or month keys."""
+    low, high = int(low), int(high)
+    if grain is WEEK:
+        return date.fromisocalendar(low // 100, low % 100, 1), date.fromisocalendar(high // 100, high % 100, 7)
+    after = date(high // 100 + high % 100 // 12, high % 100 % 12 + 1, 1)
+    return date(low // 100, low % 100, 1), after - timedelta(days=1)
+
+
+def live_in_range(rows: DataFrame, grain, low, high) -> DataFrame:
+    """Live records of a period range; their weeks and months follow from the day, so the days of the
+    range say it too, and other days' directories stay closed."""
+    if grain in (WEEK, MONTH):
+        rows = between_keys(rows, "day", *_days_of(grain, low, high))
+    return _in_range(rows, grain, low, high)
+
+
 def _in_range(rows: DataFrame, grain, low, high) -> DataFrame:
     if grain in (HOUR, DAY):
         return between_keys(rows, "day", low, high)
@@ -137,10 +166,10 @@ def _summary(spark, path: str, business, grain) -> DataFrame:
 
 
 def report_live(spark, viewing: str, dictionary: str, summary: str, out: str, grain: str,
-                low: str, high: str, weight: float = kpi.WEIGHT) -> None:
+                low: str, high: str, weight: float = kpi.WEIGHT, form: str = PARQUET) -> None:
     """Summary, channel type and channel; hours take the split records as ``viewing``."""
     step = GRAINS[grain]
-    rows = _in_range(records.read_records(spark, viewing, records.LIVE_VIEWING), step, low, high)
+    rows = live_in_range(_viewing(spark, viewing, form), step, low, high)
     names = records.read_records(spark, dictionary, records.CHANNEL_DICT)
     prepared = _summary(spark, summary, kpi.LIVE, step)
     if step is HOUR:
@@ -159,8 +188,8 @@ def report_live(spark, viewing: str, dictionary: str, summary: str, out: str, gr
 
 
 def report_programs(spark, viewing: str, dictionary: str, summary: str, out: str,
-                    low: str, high: str, weight: float = kpi.WEIGHT) -> None:
-    rows = _in_range(records.read_records(spark, viewing, records.LIVE_VIEWING), HOUR, low, high)
+                    low: str, high: str, weight: float = kpi.WEIGHT, form: str = PARQUET) -> None:
+    rows = live_in_range(_viewing(spark, viewing, form), HOUR, low, high)
     names = records.read_records(spark, dictionary, records.CHANNEL_DICT)
     totals = kpi.hour_totals(rows, _summary(spark, summary, kpi.LIVE, HOUR))
     report = kpi.item_report(rows, names, totals, HOUR, kpi.LIVE, weight=weight, programs=True)
@@ -226,8 +255,9 @@ def count_users(spark, raw: str, out: str,
     write_tsv(clean.monthly_users(_log(spark, raw), months), out, files=1)
 
 
-def list_channels(spark, viewing: str, out: str, after: int = 201603, before: int = 201610) -> None:
-    rows = records.read_records(spark, viewing, records.LIVE_VIEWING)
+def list_channels(spark, viewing: str, out: str, after: int = 201603, before: int = 201610,
+                  form: str = PARQUET) -> None:
+    rows = _viewing(spark, viewing, form)
     write_tsv(extracts.distinct_channels(rows, after, before), out, files=1)
 
 

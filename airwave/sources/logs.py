@@ -42,13 +42,34 @@ KEY_FIELDS = {
 }
 
 
+#: Bytes of gzip text for each partition that its lines are spread to.
+GZIP_BYTES = 64 << 20
+
+
+def gzip_parts(spark: SparkSession, path: str, most: int = GZIP_BYTES) -> int | None:
+    """Partitions for the lines of gzip files, by their size; None if no file is larger than ``most``.
+
+    A listing of one folder or pattern through Hadoop's file system, as the read itself does.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    sizes = []
+    for found in files.globStatus(at) or ():
+        for file in files.listStatus(found.getPath()):
+            if file.getPath().getName().endswith(".gz"):
+                sizes.append(file.getLen())
+    return -(-sum(sizes) // most) if sizes and max(sizes) > most else None
+
+
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Text lines without the blank ones.
 
-    A gzip file is one partition whatever its size; pass ``partitions`` to spread its
-    lines right after the read.
+    A gzip file is one task of the read whatever its size; its lines are spread right after, to
+    ``partitions`` or as many as ``gzip_parts`` says.
     """
     lines = spark.read.text(path)
+    partitions = partitions or gzip_parts(spark, path, GZIP_BYTES)
     if partitions:
         lines = lines.repartition(partitions)
     return lines.filter(F.col("value") != "")

@@ -2,15 +2,19 @@
 
 import glob
 import gzip
+import os
+import shutil
 import tempfile
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from airwave.functions.calendar import DAY, WEEK, shift_week
+from airwave.functions.calendar import DAY, MONTH, WEEK, shift_week
 from airwave.functions.text import tsv_lines
 from airwave.operators import clean, flows, kpi, viewing
 from airwave.plans import jobs, queries
+from airwave.sinks import exchange
 from airwave.sources import logs, records, tables
 
 DAYS = {"first": "2024-01-01", "last": "2024-01-30"}
@@ -55,9 +59,62 @@ def hours(spark, sf_dir):
     return viewing.hourly_viewing(viewing.dwell_times(live, off)).cache()
 
 
+def stored(spark, path):
+    return text_of(exchange.read_rows(spark, path, records.LIVE_VIEWING))
+
+
 def test_viewing_files(spark, home, hours):
-    assert lines(spark, home + "hours") == text_of(hours.select(*[n for n, _ in records.LIVE_VIEWING]))
-    assert lines(spark, home + "pieces") == text_of(viewing.split_hours(hours))
+    assert stored(spark, home + "hours") == text_of(hours.select(*[n for n, _ in records.LIVE_VIEWING]))
+    assert stored(spark, home + "pieces") == text_of(viewing.split_hours(hours))
+
+
+def test_the_chain_as_text_gives_the_same(spark, home):
+    as_text = {"form": "text"}
+    jobs.filter_live(spark, home + "raw", home + "t_live", files=2, **MONTHS, **as_text)
+    jobs.find_shutdowns(spark, home + "raw", home + "t_off", **MONTHS, **as_text)
+    jobs.measure_viewing(spark, home + "t_live", home + "t_off", home + "t_hours", files=3, **as_text)
+    assert lines(spark, home + "t_hours") == stored(spark, home + "hours")
+    for form, source in (("text", "t_hours"), ("parquet", "hours")):
+        jobs.report_live(spark, home + source, home + "channels", home + "live_sum", f"{home}by_{form}", "week",
+                         "202402", "202403", form=form)
+    for name in ("summary", "channelType", "channel"):
+        assert lines(spark, f"{home}by_text/{name}") == lines(spark, f"{home}by_parquet/{name}")
+
+
+def test_a_report_opens_the_days_of_its_period_alone(spark, home):
+    days = sorted(os.path.basename(d) for d in glob.glob(home + "hours/day=*"))
+    assert len(days) > 20
+    shutil.copytree(home + "hours", home + "broken")
+    inside = {f"day=2024-01-{d:02}" for d in range(8, 15)}
+    for file in glob.glob(home + "broken/day=*/*.parquet"):
+        if os.path.basename(os.path.dirname(file)) not in inside:
+            with open(file, "wb") as broken:
+                broken.write(b"not parquet")
+    for crc in glob.glob(home + "broken/day=*/.*.crc"):
+        os.remove(crc)
+    names = (home + "channels", home + "live_sum")
+    jobs.report_live(spark, home + "broken", *names, home + "week_2", "week", "202402", "202402")
+    jobs.report_live(spark, home + "hours", *names, home + "week_2_whole", "week", "202402", "202402")
+    for name in ("channelType", "channel"):
+        assert lines(spark, f"{home}week_2/{name}") == lines(spark, f"{home}week_2_whole/{name}")
+        assert lines(spark, f"{home}week_2/{name}")
+
+
+def test_days_of_a_period_range():
+    assert jobs._days_of(WEEK, 202053, 202101) == (date(2020, 12, 28), date(2021, 1, 10))
+    assert jobs._days_of(MONTH, 202311, 202312) == (date(2023, 11, 1), date(2023, 12, 31))
+    assert jobs._days_of(MONTH, "202402", "202402") == (date(2024, 2, 1), date(2024, 2, 29))
+
+
+def test_lines_of_a_gzip_file_are_spread(spark, home, monkeypatch):
+    spark.read.text(home + "raw").coalesce(1).write.option("compression", "gzip").text(home + "one_gz")
+    (path,) = glob.glob(home + "one_gz/*.gz")
+    assert logs.read_lines(spark, path).rdd.getNumPartitions() == 1 and logs.gzip_parts(spark, path) is None
+    monkeypatch.setattr(logs, "GZIP_BYTES", os.path.getsize(path) // 4)
+    for at in (path, home + "one_gz"):
+        assert logs.read_lines(spark, at).rdd.getNumPartitions() in (4, 5)
+    assert jobs._log(spark, path).rdd.getNumPartitions() in (4, 5)
+    assert logs.gzip_parts(spark, home + "channels", 1) is None
 
 
 def test_seed_file(spark, home, hours):
