@@ -33,8 +33,11 @@ from .common import slices, text_bytes
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # kind, start, end
 
-EMAIL = re.compile(rb"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(rb"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Patterns take linear time: a run of one kind of signs is entered at its begin alone and never given
+# back (what follows can't begin with its signs), so no other match is found or lost.
+_LOCAL_BYTES = bytes(range(48, 58)) + bytes(range(65, 91)) + bytes(range(97, 123)) + b"._%+-"
+DOMAIN = re.compile(rb"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+")
+IP = re.compile(rb"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 
 _EMAIL_BYTE = np.zeros(256, bool)
@@ -61,6 +64,18 @@ def _runs(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, marks: np.nda
     yield from zip(text[first].tolist(), start[first].tolist(), end[first].tolist(), strict=True)
 
 
+def _emails(run: bytes) -> Iterator[tuple[int, int]]:
+    """Addresses in a run: the longest local part before each at sign, after the address before."""
+    begin, at = 0, run.find(b"@")
+    while at >= 0:
+        start = begin + len(run[begin:at].rstrip(_LOCAL_BYTES))
+        m = DOMAIN.match(run, at + 1) if start < at else None
+        if m:
+            yield start, m.end()
+        begin = m.end() if m else at + 1
+        at = run.find(b"@", begin)
+
+
 def base_spans(data: np.ndarray, offsets: np.ndarray) -> list[list[Span]]:
     """For each text its base identifiers, in bytes from the text's begin."""
     out: list[list[Span]] = [[] for _ in range(len(offsets) - 1)]
@@ -70,15 +85,15 @@ def base_spans(data: np.ndarray, offsets: np.ndarray) -> list[list[Span]]:
     digit = (data >= 48) & (data <= 57)
 
     for text, a, b in _runs(data, offsets, _EMAIL_BYTE, np.flatnonzero(data == 0x40)):
-        out[text] += [(0, m.start() - offsets[text], m.end() - offsets[text]) for m in EMAIL.finditer(raw, a, b)]
+        out[text] += [(0, a + start - offsets[text], a + end - offsets[text]) for start, end in _emails(raw[a:b])]
 
     dots = np.flatnonzero(data == 0x2E)
     dots = dots[(dots > 0) & (dots < len(data) - 1)]
     dots = dots[digit[dots - 1] & digit[dots + 1]]
     for text, a, b in _runs(data, offsets, _IP_BYTE, dots):
-        for m in IP.finditer(raw, a, b):
+        for m in IP.finditer(raw[a:b]):
             if all(len(x.lstrip(b"0")) <= 3 and int(x.lstrip(b"0") or b"0") <= 255 for x in m[0].split(b".")):
-                out[text].append((1, m.start() - offsets[text], m.end() - offsets[text]))
+                out[text].append((1, a + m.start() - offsets[text], a + m.end() - offsets[text]))
 
     # digits with at most one blank or hyphen between them: each longest chain is one match
     place = np.flatnonzero(digit)
@@ -130,18 +145,21 @@ DOT = "dot|punto|punkt|point|period"
 
 _WORD = "|".join(sorted((re.escape(w) for w in DIGITS), key=len, reverse=True))
 _GAP = r"[\s,;/·_-]{1,3}"
-_ITEM = rf"(?:(?:double|triple){_GAP})?(?:{_WORD}|[0-9]+)"
+_ITEM = rf"(?:(?:double|triple){_GAP})?(?:{_WORD}|[0-9]++)"
 #: Seven digits or more of which one or more are spelled, after an optional plus.
 SPELLED = re.compile(rf"(?<![^\W_])(?:(?:\+\s*|plus{_GAP}))?{_ITEM}(?:(?:{_GAP}|{_GAP}?(?:{DOT}){_GAP}|[().]){{1}}{_ITEM}){{3,}}(?![^\W_])", re.I)
 INVISIBLE = re.compile("[­​-‏⁠-⁤﻿]+")
-BRACKET_AT = re.compile(rf"\s*[\[({{<]\s*(?:{AT}|@)\s*[\])}}>]\s*", re.I)
-BRACKET_DOT = re.compile(rf"\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*", re.I)
-_LABEL = r"[A-Za-z0-9-]+"
-_LOCAL = r"[A-Za-z0-9._%+-]+"
+#: Blanks from the begin of their run, or none.
+_BLANKS = r"(?:(?<!\s)\s++)?"
+BRACKET_AT = re.compile(rf"{_BLANKS}[\[({{<]\s*+(?:{AT}|@)\s*+[\])}}>]\s*+", re.I)
+BRACKET_DOT = re.compile(rf"{_BLANKS}[\[({{<]\s*+(?:{DOT}|\.)\s*+[\])}}>]\s*+", re.I)
+_LABEL = r"[A-Za-z0-9-]++"
+_LOCAL = r"[A-Za-z0-9._%+-]++"
 SPELLED_EMAIL = re.compile(
-    rf"(?<![^\W_]){_LOCAL}(?:\s+(?:{DOT})\s+{_LOCAL}){{0,3}}(?:\s+(?:{AT})\s+|\s*@\s*){_LABEL}(?:(?:\s+(?:{DOT})\s+|\s*\.\s*){_LABEL}){{1,4}}", re.I
+    rf"(?<![A-Za-z0-9._%+-])(?<![^\W_]){_LOCAL}(?:\s++(?:{DOT})\s++{_LOCAL}){{0,3}}(?:\s++(?:{AT})\s++|\s*+@\s*+){_LABEL}(?:(?:\s++(?:{DOT})\s++|\s*+\.\s*+){_LABEL}){{1,4}}", re.I
 )
-_SPELLED_AT, _SPELLED_DOT = re.compile(rf"\s+(?:{AT})\s+|\s*@\s*", re.I), re.compile(rf"\s+(?:{DOT})\s+|\s*\.\s*", re.I)
+_SPELLED_AT = re.compile(rf"(?<!\s)\s++(?:{AT})\s++|{_BLANKS}@\s*+", re.I)
+_SPELLED_DOT = re.compile(rf"(?<!\s)\s++(?:{DOT})\s++|{_BLANKS}\.\s*+", re.I)
 _HAS_SPELLED_DOT = re.compile(rf"\s(?:{DOT})\s", re.I)
 _TOKEN = re.compile(rf"(?P<times>(?:double|triple){_GAP})?(?P<digit>{_WORD}|[0-9]+)|(?P<plus>\+\s*|plus{_GAP})|(?P<dot>(?:{_GAP})?(?:{DOT}){_GAP}|\.)|(?P<gap>.)", re.I | re.S)
 
@@ -285,10 +303,12 @@ def _hidden(text: str, base: list[Span]) -> list[Span]:
         return []
     data = np.frombuffer(tape.text.encode("utf-8", "replace"), np.uint8)
     spans = _in_characters(data, base_spans(data, np.array([0, len(data)]))[0])
+    known = [np.array([(x, y) for k, x, y in base if k == kind]).reshape(-1, 2) for kind in range(len(KINDS))]
     out = []
     for kind, a, b in spans:
         start, end = int(tape.starts[a]), int(tape.ends[b - 1])
-        if not any(k == kind and start < y and x < end for k, x, y in base):
+        before = int(np.searchsorted(known[kind][:, 0], end)) - 1  # the last one that begins before the end
+        if before < 0 or known[kind][before, 1] <= start:
             out.append((kind, start, end))
     return out
 

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -345,6 +346,31 @@ def test_pii_each_sign_alone_triggers_the_rewrite():
         assert [k for k, _, _ in _rewritten([text])[0] if k == 3] == [3], between
 
 
+@pytest.mark.parametrize("piece,ending", [
+    (" ", "jane [at] x [dot] org"), ("a", "@"), ("1", ".1"), (".", "α"), ("[ ", "α"), ("a@", "α"), ("1 ", "one two"), ("+ ", "α"),
+    ("jane at x ", "dot org"), (" ", "α jane dot   smith at x dot org"), ("a@b.co ", "jane at x dot org"), ("1.1.1.1 ", "\u00ad"),
+])
+def test_pii_takes_linear_time(piece, ending):
+    text = piece * (3_000_000 // len(piece)) + ending
+    began = time.process_time()
+    _, (spans,) = pii.search(pa.RecordBatch.from_arrays([pa.array([text])], names=["text"]))
+    assert time.process_time() - began < 60
+    if "org" in ending and piece != "jane at x ":
+        kind, start, end = spans[-1] if piece == " " else max(spans, key=lambda x: x[1])
+        assert kind == 0 and end == len(text) and text[start:].startswith("jane")
+
+
+def test_pii_addresses_that_follow_each_other():
+    random.seed(6)
+    pattern = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(3000):
+        text = "".join(random.choices("ab1@._-é ", weights=[3, 2, 3, 3, 4, 1, 1, 1, 1], k=random.randint(0, 30)))
+        (base,), _ = pii.search(pa.RecordBatch.from_arrays([pa.array([text])], names=["text"]))
+        assert [(a, b) for k, a, b in base if k == 0] == [m.span() for m in pattern.finditer(text)], text
+        assert [(a, b) for k, a, b in base if k == 1] == [m.span() for m in ip.finditer(text)], text
+
+
 def test_pii_redacted(spark, odd_docs):
     rows = spark.createDataFrame([(1, "é a@b.cd and 1.2.3.4", 20), (2, None, None)], "doc_id long, text string, n_chars long")
     got = pii.redacted(rows).orderBy("doc_id").collect()
