@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -106,7 +107,10 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that each piece holds at most ``most`` bytes of text, or one row."""
+    """The batches, cut so that each piece holds at most ``most`` bytes of text, or one row.
+
+    After the last one the worker gives back what it no longer uses: it lives on for other stages.
+    """
     for batch in batches:
         _, offsets = text_bytes(batch.column(column))
         row = 0
@@ -115,6 +119,15 @@ def slices(
             end = min(max(end, row + 1), batch.num_rows)
             yield batch.slice(row, end - row)
             row = end
+    _give_back()
+
+
+def _give_back() -> None:
+    """Free memory of Arrow and of the C library goes back to the system, where the library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

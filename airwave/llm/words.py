@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 from .common import mixed
@@ -20,20 +18,22 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-@functools.cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    def powers(base: int) -> np.ndarray:
-        out = np.full(n, base, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
+#: Powers of the base and of its inverse, as many as the longest block so far asked for.
+_POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+
 
-    return powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            out = np.full(-(-n // 65536) * 65536, base, np.uint64)
+            out[0] = 1
+            _POWERS[i] = np.multiply.accumulate(out)
+    return _POWERS
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each run [start, end) of the bytes: a polynomial of them, mixed with the length."""
-    size = 1 << max(12, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     value = (sums[ends] - sums[starts]) * down[starts]
