@@ -119,10 +119,10 @@ def slices(
             end = min(max(end, row + 1), batch.num_rows)
             yield batch.slice(row, end - row)
             row = end
-    _give_back()
+    give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Free memory of Arrow and of the C library goes back to the system, where the library can do that."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

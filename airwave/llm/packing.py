@@ -22,8 +22,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import batch_of, saved, slices, text_bytes
+from .common import batch_of, give_back, saved, slices, text_bytes
 from .tokens import tokenizer
 
 LENGTH = 1024
@@ -33,7 +35,8 @@ GROUP_ROWS = 100_000
 GROUP_IDS = 1 << 23
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-PACKED = PIECES + ", ids array<int>, sequence_id long, offset long"
+#: Bytes of text that go through the tokenizer at once.
+ENCODED_BYTES = 1 << 20
 
 
 def _id_width(path: str) -> str:
@@ -47,7 +50,7 @@ def _cut(path: str, length: int, with_ids: bool, narrow: str | None = None) -> C
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(path)
-        for batch in slices(batches):
+        for batch in slices(batches, most=ENCODED_BYTES):
             data, offsets = text_bytes(batch.column("text"))
             ids, at = encoder.encode(data, offsets)
             n = batch.num_rows
@@ -69,6 +72,8 @@ def _cut(path: str, length: int, with_ids: bool, narrow: str | None = None) -> C
                 else:
                     columns.append(pa.ListArray.from_arrays(ends, ids.astype(np.int32)))
             yield batch_of(schema, columns)
+        encoder.clear()
+        give_back()
 
     return run
 
@@ -107,9 +112,10 @@ def place(histogram: dict[int, int], length: int = LENGTH) -> pd.DataFrame:
     return pd.DataFrame(placed, columns=["size", "rank", "n", "sequence", "offset"], dtype="int64")
 
 
-def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
+def pack(cut: DataFrame, length: int = LENGTH, narrow: str = "<u2") -> DataFrame:
     """Pieces (with ``length`` and any other columns) with ``sequence_id`` and ``offset``.
 
+    ``ids``, if they are bytes, hold numbers of type ``narrow`` and come out as an array of these.
     ``cut`` is read three times, so give it saved. A length that many pieces share is ranked in
     groups by a hash, whose counts are summed up before.
     """
@@ -127,49 +133,53 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     inside = Window.partitionBy("length", "_group").orderBy(*names)
     ranked = rows.withColumn("_rank", F.row_number().over(inside) - 1).join(sizes, ["length", "_group"])
 
+    numbers = {"ids": ArrayType(IntegerType())} if dict(cut.dtypes).get("ids") == "binary" else {}
+    schema = StructType([StructField(f.name, numbers.get(f.name, f.dataType)) for f in cut.schema])
+    schema = schema.add("sequence_id", "long").add("offset", "long")
+    placed = ranked.withColumn("_rank", F.col("_rank") + F.col("_before")).select(*cut.columns, "_rank")
+    return placed.mapInArrow(_found(at, to_arrow_schema(schema), narrow if numbers else None), schema)
+
+
+def _found(at: pd.DataFrame, schema: pa.Schema, narrow: str | None) -> Callable:
+    """Pieces with the place of their rank; with ``narrow``, ids become numbers and ``ids_crc32`` is taken from these.
+
+    One function for both, so that a task needs one Python worker.
+    """
     # (size, rank) as one number, sorted: at most length**2 / 2 placements, a few MB
     at = at.sort_values(["size", "rank"], ignore_index=True)
     key = (at["size"].to_numpy() << 50) + at["rank"].to_numpy()
     rank0, sequence0, offset0 = (at[c].to_numpy() for c in ("rank", "sequence", "offset"))
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def find(size: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        p = np.searchsorted(key, (size.to_numpy() << 50) + rank.to_numpy(), "right") - 1
-        return pd.DataFrame({"sequence_id": sequence0[p] + rank.to_numpy() - rank0[p], "offset": offset0[p]})
-
-    found = ranked.withColumn("_at", find("length", F.col("_rank") + F.col("_before")))
-    return found.select(*cut.columns, "_at.sequence_id", "_at.offset")
-
-
-def _read(narrow: str) -> Callable:
-    """Packed pieces with their ids as numbers; ``length`` and ``ids_crc32`` are taken from these."""
-    fields = [pa.field(x.split()[0], pa.list_(pa.int32()) if "array" in x else pa.int64()) for x in PACKED.split(", ")]
-    schema = pa.schema(fields)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(0, batch.num_rows, 2048):
                 part = batch.slice(row, 2048)
-                raw = part.column("ids").to_pylist()
-                size = np.array([len(x) for x in raw], np.int64) // np.dtype(narrow).itemsize
-                ids = np.frombuffer(b"".join(raw), narrow).astype("<u4")
-                ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                own = {
-                    "length": size,
-                    "ids_crc32": [zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)],
-                    "ids": pa.ListArray.from_arrays(ends, ids.astype(np.int32)),
-                }
+                size, rank = (part.column(c).to_numpy(zero_copy_only=False) for c in ("length", "_rank"))
+                p = np.searchsorted(key, (size << 50) + rank, "right") - 1
+                own = {"sequence_id": sequence0[p] + rank - rank0[p], "offset": offset0[p]}
+                if narrow:
+                    own |= _ids(part.column("ids"), narrow)
                 yield batch_of(schema, [own[n] if n in own else part.column(n) for n in schema.names])
+        give_back()
 
     return run
 
 
+def _ids(column: pa.Array, narrow: str) -> dict:
+    raw = column.to_pylist()
+    size = np.array([len(x) for x in raw], np.int64) // np.dtype(narrow).itemsize
+    ids = np.frombuffer(b"".join(raw), narrow).astype("<u4")
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    crc = [zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    return {"length": size, "ids_crc32": crc, "ids": pa.ListArray.from_arrays(ends, ids.astype(np.int32))}
+
+
 def packed(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFrame:
     """Documents to packed pieces with their ids; the pieces are saved in between."""
     narrow = _id_width(tokenizer_path)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     cut = rows.mapInArrow(_cut(tokenizer_path, length, True, narrow), PIECES + ", ids binary")
-    return pack(saved(cut), length).mapInArrow(_read(narrow), PACKED)
+    return pack(saved(cut), length, narrow)
 
 
 def sequences(packed_ids: DataFrame, length: int = LENGTH, pad: int = END_ID) -> DataFrame:

@@ -24,7 +24,8 @@ CLASS[[*range(48, 58)]] = DIGIT
 CLASS[[*range(65, 91), *range(97, 123)]] = LETTER
 CLASS[0x80:0xC0] = LETTER  # the second byte of a letter; any other character has an unusual first byte
 CLASS[[0xC3, 0xC4, 0xC5]] = LETTER  # U+00C0 to U+017F
-MOST_KEPT = 500_000
+#: Pieces whose ids a worker keeps, about 150 bytes each.
+MOST_KEPT = 350_000
 
 
 def _byte_signs() -> dict[int, str]:
