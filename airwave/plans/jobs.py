@@ -3,7 +3,10 @@
 Run one with ``python -m airwave.plans.jobs NAME key=value ...``; each function below is a
 job and its arguments are the keys. Jobs hand each other Parquet, viewing records by day, so that a
 report opens the days of its period alone; with ``form=text`` they write and read gzip text, one
-file per task, or ``files`` of them. Reports are one text file each.
+file per task, or ``files`` of them. Reports are one text file each, but those with a row per channel
+or show are as many as they have partitions. With ``load=FOLDER`` a report goes into its table there
+as well, ``FOLDER/NAME_GRAIN``: rows of its user type with a key above ``after`` are replaced. It is
+computed once for both.
 """
 
 from __future__ import annotations
@@ -29,8 +32,9 @@ from airwave.functions.calendar import (
 from airwave.functions.text import log_time
 from airwave.operators import clean, extracts, flows, kpi, layout, overview
 from airwave.operators import viewing as views
+from airwave.sinks import tables
 from airwave.sinks.exchange import EVENTS, PARQUET, TEXT, read_rows, write_events, write_rows
-from airwave.sinks.text import write_reports, write_sorted_summary, write_tsv
+from airwave.sinks.text import write_report, write_sorted_summary, write_tsv
 from airwave.sources import logs, records
 
 # The calendar the jobs cover by default, and how many seed users count as
@@ -39,6 +43,8 @@ FIRST_DAY, LAST_DAY = "2016-04-01", "2016-09-30"
 SEEDS_BEFORE = {"day": 120_000, "week": 170_000, "month": None}
 # Fixed value: demand records number their weeks one too high.
 DEMAND_WEEKS_AHEAD = 1
+#: Reports whose rows grow with the channels or shows and not with the calendar alone.
+ITEM_REPORTS = ("channel", "show")
 
 
 def _log(spark: SparkSession, raw: str) -> DataFrame:
@@ -165,9 +171,29 @@ def _summary(spark, path: str, business, grain) -> DataFrame:
     return records.summary_of(records.read_records(spark, path, table), name)
 
 
+def _publish(report: DataFrame, out: str, name: str, load: str, user_type: int, grain, after: str) -> None:
+    """Text under ``out`` and, with ``load``, the rows above ``after`` in their table; the report runs once."""
+    items = name in ITEM_REPORTS
+    if not load:
+        write_report(report, out, items=items)
+        return
+    path, key = f"{load}/{name}_{grain.name}", grain.keys[0]
+    bound = F.lit(after).cast("date") if grain in (HOUR, DAY) else F.lit(int(after))
+    with tables.staged(report, path) as rows:
+        write_report(rows, out, items=items)
+        tables.load_staged(rows.filter(F.col(key) > bound), path, user_type, grain.name, bound)
+
+
+def _check_load(load: str, after: str) -> None:
+    if load and not after:
+        raise ValueError("load needs after, the last period whose stored rows stay")
+
+
 def report_live(spark, viewing: str, dictionary: str, summary: str, out: str, grain: str,
-                low: str, high: str, weight: float = kpi.WEIGHT, form: str = PARQUET) -> None:
+                low: str, high: str, weight: float = kpi.WEIGHT, form: str = PARQUET,
+                load: str = "", after: str = "") -> None:
     """Summary, channel type and channel; hours take the split records as ``viewing``."""
+    _check_load(load, after)
     step = GRAINS[grain]
     rows = live_in_range(_viewing(spark, viewing, form), step, low, high)
     names = records.read_records(spark, dictionary, records.CHANNEL_DICT)
@@ -177,14 +203,13 @@ def report_live(spark, viewing: str, dictionary: str, summary: str, out: str, gr
         totals = kpi.hour_totals(rows, prepared)
     else:
         overall, totals = kpi.summary_report(prepared, step, kpi.LIVE), prepared
-    write_reports(
-        {
-            "summary": overall,
-            "channelType": kpi.type_report(rows, names, totals, step, kpi.LIVE, weight=weight),
-            "channel": kpi.item_report(rows, names, totals, step, kpi.LIVE, weight=weight),
-        },
-        out,
-    )
+    family = {
+        "summary": overall,
+        "channelType": kpi.type_report(rows, names, totals, step, kpi.LIVE, weight=weight),
+        "channel": kpi.item_report(rows, names, totals, step, kpi.LIVE, weight=weight),
+    }
+    for name, report in family.items():
+        _publish(report, f"{out}/{name}", name, load, kpi.LIVE.user_type, step, after)
 
 
 def report_programs(spark, viewing: str, dictionary: str, summary: str, out: str,
@@ -198,7 +223,9 @@ def report_programs(spark, viewing: str, dictionary: str, summary: str, out: str
 
 
 def report_demand(spark, viewing: str, dictionary: str, summary: str, out: str, grain: str,
-                  low: str, high: str, weight: float = kpi.WEIGHT) -> None:
+                  low: str, high: str, weight: float = kpi.WEIGHT,
+                  load: str = "", after: str = "") -> None:
+    _check_load(load, after)
     step = GRAINS[grain]
     rows = kpi.distinct_requests(_in_range(_demand(spark, viewing), step, low, high), step)
     names = records.read_records(spark, dictionary, records.SHOW_DICT)
@@ -208,14 +235,13 @@ def report_demand(spark, viewing: str, dictionary: str, summary: str, out: str,
         totals = kpi.hour_totals(rows, prepared, shows="show_name")
     else:
         overall, totals = kpi.summary_report(prepared, step, kpi.DEMAND), prepared
-    write_reports(
-        {
-            "summary": overall,
-            "showType": kpi.type_report(rows, names, totals, step, kpi.DEMAND, weight=weight),
-            "show": kpi.item_report(rows, names, totals, step, kpi.DEMAND, weight=weight),
-        },
-        out,
-    )
+    family = {
+        "summary": overall,
+        "showType": kpi.type_report(rows, names, totals, step, kpi.DEMAND, weight=weight),
+        "show": kpi.item_report(rows, names, totals, step, kpi.DEMAND, weight=weight),
+    }
+    for name, report in family.items():
+        _publish(report, f"{out}/{name}", name, load, kpi.DEMAND.user_type, step, after)
 
 
 def fix_weeks(spark, summary: str, types: str, shows: str, out: str, by: int = -1) -> None:
@@ -227,13 +253,16 @@ def fix_weeks(spark, summary: str, types: str, shows: str, out: str, by: int = -
         moved = shift_week(rows.filter(F.col("week").isNotNull()), by)
         rest = F.expr("substring(value, length(_week) + 1)")
         fixed = moved.select(F.concat(F.col("week").cast("string"), rest).alias("value"))
-        fixed.repartition(1).write.text(f"{out}/{name}")
+        (fixed if name in ITEM_REPORTS else fixed.repartition(1)).write.text(f"{out}/{name}")
 
 
-def report_overview(spark, live: str, demand: str, out: str, grain: str) -> None:
+def report_overview(spark, live: str, demand: str, out: str, grain: str,
+                    load: str = "", after: str = "") -> None:
+    _check_load(load, after)
     step = GRAINS[grain]
     both = (_summary(spark, live, kpi.LIVE, step), _summary(spark, demand, kpi.DEMAND, step))
-    write_tsv(overview.overview_report(*both, step), out, files=1)
+    report = overview.overview_report(*both, step)
+    _publish(report, out, "summary", load, kpi.BOTH, step, after)
 
 
 def report_overview_hours(spark, live: str, demand: str, out: str) -> None:

@@ -35,10 +35,9 @@ def write_sorted_summary(summaries: DataFrame, path: str, mode: str = "overwrite
     lines.write.mode(mode).option("compression", "none").text(path)
 
 
-def write_reports(reports: dict[str, DataFrame], path: str, **options) -> None:
-    """Each report of a family under its own name below ``path``."""
-    for name, report in reports.items():
-        write_tsv(report, f"{path}/{name}", files=1, **options)
+def write_report(report: DataFrame, path: str, *, items: bool = False) -> None:
+    """One file, whose rows the calendar bounds; of ``items``, which nothing bounds, a file per partition."""
+    write_tsv(report, path, files=0 if items else 1)
 
 
 def preview(df: DataFrame, n: int = 20) -> None:

@@ -216,6 +216,30 @@ def test_small_jobs(spark, home, sf_dir):
     assert len(lines(spark, home + "frames")[0].split("\t")) == 9
 
 
+def test_reports_are_loaded_into_tables(spark, home):
+    """A report run again over its last days replaces these and leaves the earlier ones."""
+    at = home + "tables"
+    names = (home + "channels", home + "live_sum")
+    runs = ((1, "2024-01-01", "2023-12-31"), (2, "2024-01-10", "2024-01-09"))
+    for n, low, after in runs:
+        jobs.report_live(spark, home + "hours", *names, f"{home}load_{n}", "day", low, "2024-01-31",
+                         load=at, after=after)
+    jobs.report_overview(spark, home + "live_sum", home + "demand_sum", home + "load_both", "day",
+                         load=at, after="2023-12-31")
+    for name in ("summary", "channelType", "channel"):
+        table = spark.read.parquet(f"{at}/{name}_day")
+        first = lines(spark, f"{home}load_1/{name}")
+        live = table.filter("user_type = 1 AND grain = 'day'")
+        assert live.count() == len(first) > 0
+        days = sorted(str(r.day) for r in live.collect())
+        assert days == sorted(line.split("\t")[0] for line in first)
+    kinds = {r.user_type for r in spark.read.parquet(f"{at}/summary_day").select("user_type").distinct().collect()}
+    assert len(kinds) == 2
+    assert not glob.glob(f"{at}/*.staging/*")
+    with pytest.raises(ValueError, match="after"):
+        jobs.report_live(spark, home + "hours", *names, home + "load_3", "day", "2024-01-01", "2024-01-31", load=at)
+
+
 def test_job_list():
     assert {"filter_live", "summarize_demand", "report_live", "route_log"} <= set(jobs.JOBS)
     assert not any(name.startswith("_") for name in jobs.JOBS)

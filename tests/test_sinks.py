@@ -49,9 +49,39 @@ def test_sorted_summary(spark, folder):
     assert [line.split("\t")[1] for line in open(path)] == ["2016-04-01", "2016-04-02", "201613"]
 
 
-def test_report_family(spark, folder):
-    text.write_reports({"summary": report(spark, (1, 2)), "channel": report(spark, (1, 3))}, folder)
-    assert open(glob.glob(f"{folder}/channel/part-*")[0]).read() == "2016-01-01\t3\n"
+def test_reports(spark, folder):
+    rows = report(spark, *[(d, 1) for d in range(1, 9)]).repartition(4, "day")
+    text.write_report(rows, f"{folder}/summary")
+    text.write_report(rows.filter("day = '2016-01-03'"), f"{folder}/channel", items=True)
+    assert len(glob.glob(f"{folder}/summary/part-*")) == 1
+    found = [line for f in glob.glob(f"{folder}/channel/part-*") for line in open(f)]
+    assert found == ["2016-01-03\t1\n"]
+
+
+def test_a_load_computes_its_rows_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    path = f"{folder}/t"
+    for n in (1, 2):
+        rows = report(spark, (1, 1), (5, n)).mapInArrow(counted, "day date, user_num long")
+        tables.replace_load(rows, path, 2, "day", date(2015, 12, 31))
+        assert seen.value == 2 * n
+    assert stored(spark, path) == [(2, "day", 1, 1), (2, "day", 5, 2)]
+
+
+def test_a_load_that_fails_leaves_the_table(spark, folder):
+    path = f"{folder}/t"
+    tables.replace_load(report(spark, (5, 1)), path, 2, "day", date(2016, 1, 1))
+    bad = report(spark, (6, 1)).withColumn("user_num", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        tables.replace_load(bad, path, 2, "day", date(2016, 1, 1))
+    assert stored(spark, path) == [(2, "day", 5, 1)]
+    assert not glob.glob(f"{path}.staging/*")
 
 
 def test_append_load(spark, folder):
