@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airwave.functions.calendar import month_key, week_key, with_calendar_keys
 from airwave.functions.text import tail_digits
-from airwave.operators.neighbours import with_next, with_previous
+from airwave.operators.neighbours import with_next, with_next_stored, with_previous
 from airwave.operators.skew import heavy_keys
 
 # The mark of a shutdown record, and the dwell bounds in seconds.
@@ -18,6 +18,16 @@ HEARTBEAT_MINUTES = 10
 VIEWING_KEYS = ["uid", "month", "week", "day", "hour", "channel_name", "program_name"]
 
 
+def off_time(last: Column, draw: int | None = None) -> Column:
+    """When a box went off whose last power record was at ``last``: within one heartbeat."""
+    if draw is None:
+        seed = F.coalesce(tail_digits(F.col("uid")), F.lit(0)) * 31 + F.unix_timestamp(last)
+    else:
+        seed = F.xxhash64("uid", last, F.lit(draw))
+    offset = F.pmod(seed, F.lit(HEARTBEAT_MINUTES)).cast("int")
+    return F.timestamp_add("MINUTE", offset, last)
+
+
 def shutdown_times(
     power: DataFrame,
     tie: list[str] | None = None,
@@ -35,14 +45,9 @@ def shutdown_times(
     """
     tie = tie or []
     before = with_previous(power, "off", ["ts", "opens", *tie], heavy)
-    if draw is None:
-        seed = F.coalesce(tail_digits(F.col("uid")), F.lit(0)) * 31 + F.unix_timestamp("off")
-    else:
-        seed = F.xxhash64("uid", "off", F.lit(draw))
-    offset = F.pmod(seed, F.lit(HEARTBEAT_MINUTES)).cast("int")
     return before.filter(F.col("opens") & F.col("off").isNotNull()).select(
         "uid",
-        F.timestamp_add("MINUTE", offset, F.col("off")).alias("ts"),
+        off_time(F.col("off"), draw).alias("ts"),
         F.lit(SHUTDOWN).alias("channel_name"),
         F.lit(SHUTDOWN).alias("program_name"),
         *tie,
@@ -65,14 +70,24 @@ def dwell_times(
     tie = tie or ["channel_name", "program_name"]
     heavy = heavy_keys(live) if heavy is None else heavy
     stream = live.withColumn("off", F.lit(0)).unionByName(shutdowns.withColumn("off", F.lit(1)))
-    following = with_next(stream, "next_ts", ["ts", "off", *tie], heavy)
+    return _dwell(with_next(stream, "next_ts", ["ts", "off", *tie], heavy))
+
+
+def dwell_of_stored(stream: DataFrame, tie: list[str] | None = None) -> DataFrame:
+    """``dwell_times`` of live (``off`` 0) and shutdown records (1) stored by user, without a shuffle."""
+    tie = tie or ["channel_name", "program_name"]
+    return _dwell(with_next_stored(stream, "next_ts", ["ts", "off", *tie]))
+
+
+def _dwell(following: DataFrame) -> DataFrame:
+    return within_bounds(following.filter(F.col("off") == 0).drop("off"))
+
+
+def within_bounds(rows: DataFrame) -> DataFrame:
+    """Add ``seconds`` from ``ts`` to ``next_ts`` and keep the rows where they count as viewing."""
     seconds = F.unix_timestamp("next_ts") - F.unix_timestamp("ts")
-    return (
-        following.filter(F.col("off") == 0)
-        .withColumn("seconds", seconds)
-        .filter(F.col("seconds").between(SHORTEST, LONGEST))
-        .drop("off", "next_ts")
-    )
+    timed = rows.withColumn("seconds", seconds)
+    return timed.filter(F.col("seconds").between(SHORTEST, LONGEST)).drop("next_ts")
 
 
 def viewing_of(
