@@ -30,9 +30,9 @@ from airwave.functions.calendar import (
     shift_week,
 )
 from airwave.functions.text import log_time
-from airwave.operators import clean, extracts, flows, kpi, layout, overview
+from airwave.operators import clean, extracts, flows, kpi, layout, overview, timelines
 from airwave.operators import viewing as views
-from airwave.sinks import tables
+from airwave.sinks import history, tables, viewers
 from airwave.sinks.exchange import EVENTS, PARQUET, TEXT, read_rows, write_events, write_rows
 from airwave.sinks.text import write_report, write_sorted_summary, write_tsv
 from airwave.sources import logs, records
@@ -43,6 +43,11 @@ FIRST_DAY, LAST_DAY = "2016-04-01", "2016-09-30"
 SEEDS_BEFORE = {"day": 120_000, "week": 170_000, "month": None}
 # Fixed value: demand records number their weeks one too high.
 DEMAND_WEEKS_AHEAD = 1
+#: What goes along from one batch of a log to the next.
+OPEN_STATE = {
+    "live": "uid string, ts timestamp_ntz, channel_name string, program_name string, until timestamp_ntz",
+    "power": "uid string, ts timestamp_ntz, opens boolean",
+}
 #: Reports whose rows grow with the channels or shows and not with the calendar alone.
 ITEM_REPORTS = ("channel", "show")
 
@@ -87,6 +92,44 @@ def measure_viewing(spark, live: str, shutdowns: str, out: str, files: int = 0,
     write_rows(views.hourly_viewing(dwell), out, records.LIVE_VIEWING, form=form, files=files)
 
 
+def store_stream(spark, live: str, shutdowns: str, out: str, buckets: int = viewers.BUCKETS, form: str = PARQUET) -> None:
+    """Live and shutdown records by user, for ``measure_stored``."""
+    viewers.write_stream(_stream(spark, live, form), _stream(spark, shutdowns, form), out, buckets)
+
+
+def measure_stored(spark, stream: str, out: str, files: int = 0, form: str = PARQUET) -> None:
+    """``measure_viewing`` of a stored stream; its rows are not shuffled."""
+    dwell = views.dwell_of_stored(viewers.read_stream(spark, stream))
+    write_rows(views.hourly_viewing(dwell), out, records.LIVE_VIEWING, form=form, files=files)
+
+
+def extend_viewing(spark, raw: str, out: str, state: str, before: str = "",
+                   first_month: int = clean.FIRST_MONTH, last_month: int = clean.LAST_MONTH,
+                   form: str = PARQUET, files: int = 0) -> None:
+    """Viewing of one batch of a log. What it cannot settle goes to ``state``; ``before`` is the state of
+    the batch before. A batch can be run again, as it changes nothing of ``before``."""
+    log, months = _log(spark, raw), _months(first_month, last_month)
+    live, power = clean.filter_live(log, months), clean.filter_power(log, months)
+    old = None
+    if before:
+        old = timelines.State(
+            *[spark.read.schema(layout).parquet(f"{before}/{name}") for name, layout in OPEN_STATE.items()]
+        )
+    with tables.staged(timelines.lines(live, power, old), out) as marked:
+        timelines.carried(marked).write.parquet(f"{state}/live")
+        timelines.last_power(power, old).write.parquet(f"{state}/power")
+        hours = views.hourly_viewing(timelines.settled(marked))
+        write_rows(hours, out, records.LIVE_VIEWING, form=form, files=files)
+
+
+def finish_viewing(spark, state: str, out: str, form: str = PARQUET, files: int = 0) -> None:
+    """Viewing that is left in the state after the last batch."""
+    left = timelines.State(
+        *[spark.read.schema(layout).parquet(f"{state}/{name}") for name, layout in OPEN_STATE.items()]
+    )
+    write_rows(views.hourly_viewing(timelines.rest(left)), out, records.LIVE_VIEWING, form=form, files=files)
+
+
 def _viewing(spark: SparkSession, path: str, form: str) -> DataFrame:
     return read_rows(spark, path, records.LIVE_VIEWING, form)
 
@@ -120,6 +163,28 @@ def summarize_live(spark, viewing: str, users: str, out: str,
     write_sorted_summary(reduce(DataFrame.unionByName, parts), out)
 
 
+def extend_live(spark, viewing: str, users: str, state: str, out: str, first: str, last: str,
+                buckets: int = viewers.BUCKETS, form: str = PARQUET) -> None:
+    """``summarize_live`` of the periods that the days from ``first`` to ``last`` touch.
+
+    Reads those days and, from ``state``, the period before and the users reached. Of the seed users,
+    those active before the calendar count in a grain's first period alone, whichever run gives it.
+    """
+    base = records.read_records(spark, users, records.UIDS)
+    if history.user_days(spark, state).isEmpty():
+        history.begin(base, state, buckets)
+    rows = between_keys(_viewing(spark, viewing, form), "day", date.fromisoformat(first), date.fromisoformat(last))
+    history.extend(rows, state, first, last, buckets)
+    parts = []
+    for grain in (DAY, WEEK, MONTH):
+        before = None
+        if history.is_first_period(spark, state, grain, first):
+            n = SEEDS_BEFORE[grain.name]
+            before = base if n is None else extracts.least_users(base, n)
+        parts.append(flows.tagged(history.summary(spark, state, grain, first, last, before), grain))
+    write_sorted_summary(reduce(DataFrame.unionByName, parts), out)
+
+
 def _demand(spark: SparkSession, path: str) -> DataFrame:
     """Demand records with week keys that exist, as a 53rd week may be the next year's 1st."""
     return shift_week(records.read_records(spark, path, records.DEMAND_VIEWING), 0)

@@ -578,4 +578,6 @@ def oracle_sql() -> dict[str, str]:
         sql[f"demand_type_{grain}"] = demand_type(grain)
         sql[f"demand_show_{grain}"] = demand_show(grain)
         sql[f"overview_{grain}"] = overview(grain)
+    for name in ("dwell_time", "cover_users_day"):
+        sql[f"{name}_batches"] = sql[name]
     return sql

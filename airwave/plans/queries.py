@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,18 @@ from airwave.functions.calendar import (
     with_calendar_keys,
 )
 from airwave.functions.text import clean_channel, known_or_mark, tsv_lines
-from airwave.operators import clean, extracts, flows, kpi, layout, levels, overview, viewing
+from airwave.operators import (
+    clean,
+    extracts,
+    flows,
+    kpi,
+    layout,
+    levels,
+    overview,
+    reached,
+    timelines,
+    viewing,
+)
 from airwave.sources import logs, records, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +167,24 @@ def dwell_time(spark, d):
     return viewing.dwell_times(tables.live_log(spark, d), off, TIE).drop("slot")
 
 
+def _middle(spark: SparkSession, d: str) -> Column:
+    """Midnight in the middle of the days of the events."""
+    first, last = live_days(spark, d)
+    return F.date_add(first, F.floor(F.date_diff(last, first) / 2).cast("int")).cast("timestamp_ntz")
+
+
+def dwell_time_batches(spark, d):
+    """The log measured in two batches, the second with what the first could not settle."""
+    cut = F.col("ts") < _middle(spark, d)
+    live, power = tables.live_log(spark, d), tables.power_log(spark, d)
+    early = timelines.lines(live.filter(cut), power.filter(cut), tie=TIE)
+    state = timelines.State(timelines.carried(early), timelines.last_power(power.filter(cut), tie=TIE))
+    late = timelines.lines(live.filter(~cut), power.filter(~cut), state, tie=TIE)
+    left = timelines.State(timelines.carried(late), timelines.last_power(power.filter(~cut), state, TIE))
+    parts = [timelines.settled(early), timelines.settled(late), timelines.rest(left)]
+    return reduce(DataFrame.unionByName, parts).drop("slot")
+
+
 # Flows.
 
 def live_prepare(grain: Grain, spark, d):
@@ -192,6 +221,15 @@ def cover_users_day(spark, d):
     return live_summary(spark, d, live_hours(spark, d), DAY).select("day", "cover_user_num")
 
 
+def cover_users_day_batches(spark, d):
+    """Users reached, from first days that a second batch extends by the users it finds new."""
+    days = live_hours(spark, d).select("uid", "day").distinct()
+    cut = F.col("day") < _middle(spark, d).cast("date")
+    known = reached.first_days(days.filter(cut))
+    seen = known.unionByName(reached.new_users(days.filter(~cut), known))
+    return reached.cover(seen, DAY, *live_days(spark, d))
+
+
 def users_by_period(spark, d):
     return flows.users_by(live_hours(spark, d), ["day"])
 
@@ -343,11 +381,13 @@ def _registry() -> dict[str, Query]:
         "route_events_sorted": route_events_sorted,
         "shutdown_times": shutdown_times,
         "dwell_time": dwell_time,
+        "dwell_time_batches": dwell_time_batches,
         "dwell_hourly": live_hours,
         "split_dwell_hours": live_pieces,
         "live_prepare_seeded": live_prepare_seeded,
         "demand_prepare_look_back": demand_prepare_look_back,
         "cover_users_day": cover_users_day,
+        "cover_users_day_batches": cover_users_day_batches,
         "users_by_period": users_by_period,
         "shows_by_period": shows_by_period,
         "user_in_day": moved_in_day,

@@ -68,6 +68,37 @@ def test_viewing_files(spark, home, hours):
     assert stored(spark, home + "pieces") == text_of(viewing.split_hours(hours))
 
 
+def test_viewing_of_a_stored_stream(spark, home):
+    jobs.store_stream(spark, home + "live", home + "off", home + "stream", buckets=8)
+    jobs.measure_stored(spark, home + "stream", home + "stored_hours")
+    assert stored(spark, home + "stored_hours") == stored(spark, home + "hours")
+
+
+def test_viewing_of_two_batches(spark, home, hours):
+    raw = spark.read.text(home + "raw")
+    time = F.regexp_extract("value", r"(20240[12]\d{8})", 1)
+    for name, part in (("a", time < "20240111093000"), ("b", time >= "20240111093000")):
+        raw.filter(part).write.text(f"{home}raw_{name}")
+    jobs.extend_viewing(spark, home + "raw_a", home + "ext_a", home + "state_a", **MONTHS)
+    jobs.extend_viewing(spark, home + "raw_b", home + "ext_b", home + "state_b", before=home + "state_a", **MONTHS)
+    jobs.finish_viewing(spark, home + "state_b", home + "ext_c")
+    parts = [exchange.read_rows(spark, f"{home}ext_{n}", records.LIVE_VIEWING) for n in "abc"]
+    keys = [n for n, _ in records.LIVE_VIEWING if n != "seconds"]
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy(*keys).agg(F.sum("seconds").alias("seconds"))
+    assert text_of(both.select(*[n for n, _ in records.LIVE_VIEWING])) == stored(spark, home + "hours")
+    assert min(part.count() for part in parts[:2]) > 0
+
+
+def test_summaries_of_two_batches(spark, home):
+    args = (home + "hours", home + "seeds", home + "reached")
+    jobs.extend_live(spark, *args, home + "sum_a", "2024-01-01", "2024-01-16", buckets=8)
+    jobs.extend_live(spark, *args, home + "sum_b", "2024-01-17", "2024-01-30", buckets=8)
+    got = {}
+    for name in ("sum_a", "sum_b"):
+        got |= {tuple(v.split("\t")[:2]): v for v in lines(spark, home + name)}
+    assert sorted(got.values()) == lines(spark, home + "live_sum")
+
+
 def test_the_chain_as_text_gives_the_same(spark, home):
     as_text = {"form": "text"}
     jobs.filter_live(spark, home + "raw", home + "t_live", files=2, **MONTHS, **as_text)
