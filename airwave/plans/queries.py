@@ -33,6 +33,7 @@ from airwave.operators import (
     timelines,
     viewing,
 )
+from airwave.session import saved
 from airwave.sources import logs, records, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,15 +175,18 @@ def _middle(spark: SparkSession, d: str) -> Column:
 
 
 def dwell_time_batches(spark, d):
-    """The log measured in two batches, the second with what the first could not settle."""
+    """The log measured in two batches, the second with what the first could not settle. Each batch's
+    lines and state are tables, as between runs of the job."""
     cut = F.col("ts") < _middle(spark, d)
-    live, power = tables.live_log(spark, d), tables.power_log(spark, d)
-    early = timelines.lines(live.filter(cut), power.filter(cut), tie=TIE)
-    state = timelines.State(timelines.carried(early), timelines.last_power(power.filter(cut), tie=TIE))
-    late = timelines.lines(live.filter(~cut), power.filter(~cut), state, tie=TIE)
-    left = timelines.State(timelines.carried(late), timelines.last_power(power.filter(~cut), state, TIE))
-    parts = [timelines.settled(early), timelines.settled(late), timelines.rest(left)]
-    return reduce(DataFrame.unionByName, parts).drop("slot")
+    state, parts = None, []
+    for batch in (cut, ~cut):
+        live, power = (rows.filter(batch) for rows in (tables.live_log(spark, d), tables.power_log(spark, d)))
+        marked = saved(timelines.lines(live, power, state, TIE))
+        state = timelines.State(
+            saved(timelines.carried(marked)), saved(timelines.last_power(power, state, TIE))
+        )
+        parts.append(timelines.settled(marked))
+    return reduce(DataFrame.unionByName, [*parts, timelines.rest(state)]).drop("slot")
 
 
 # Flows.
@@ -223,9 +227,9 @@ def cover_users_day(spark, d):
 
 def cover_users_day_batches(spark, d):
     """Users reached, from first days that a second batch extends by the users it finds new."""
-    days = live_hours(spark, d).select("uid", "day").distinct()
+    days = saved(live_hours(spark, d).select("uid", "day").distinct())
     cut = F.col("day") < _middle(spark, d).cast("date")
-    known = reached.first_days(days.filter(cut))
+    known = saved(reached.first_days(days.filter(cut)))
     seen = known.unionByName(reached.new_users(days.filter(~cut), known))
     return reached.cover(seen, DAY, *live_days(spark, d))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -26,3 +29,24 @@ def build(app: str, master: str | None = None, **conf: str) -> SparkSession:
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that all executors see: the cluster's ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session takes a temporary folder; a cluster has none that would do.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="run-")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, computed now: for rows that several later steps
+    read, and where a lost executor must not bring back all that went before. The table stays there."""
+    at = f"{shared_folder(df.sparkSession)}/saved-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
