@@ -36,12 +36,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Where it is unset, a local session takes a temporary folder; a cluster has none that would do.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local["):
+        return folder.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return tempfile.mkdtemp(prefix="run-")
+    return "file://" + tempfile.mkdtemp(prefix="run-")
 
 
 def saved(df: DataFrame) -> DataFrame:
