@@ -35,7 +35,15 @@ def _level(level: int, group: Column, uid: Column, item: Column, seconds: Column
 
 def _sums(rows: DataFrame, group: str, item: str | None) -> DataFrame:
     """One row per (level, period, group, user or item) from rows (period, uid, seconds, n,
-    n_flagged, the group's and the item's column); rows without a group count for totals alone."""
+    n_flagged, the group's and the item's column); rows without a group count for totals alone.
+
+    The rows are dealt first, by all their columns and into as many tasks as the session's
+    ``spark.sql.shuffle.partitions``: a task keeps a group for nearly every level of its rows, far more
+    than their compressed size tells adaptive execution, which would merge tasks by that size.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("period", "uid", "seconds", "n", "n_flagged", group, *([item] if item else []))
+    rows = rows.repartition(tasks, *rows.columns)
     named, zero = F.col(group), F.lit(0).cast("long")
     no_group, no_uid = (F.lit(None).cast(rows.schema[c].dataType) for c in (group, "uid"))
     no_item = F.lit(None).cast(rows.schema[item].dataType if item else "string")

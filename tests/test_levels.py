@@ -78,3 +78,16 @@ def test_live_hours_across_midnight(spark):
         (levels.hour_summary(one, first, last, kpi.LIVE), kpi.hour_summary_report(pieces, cover, kpi.LIVE)),
     ):
         assert got.dtypes == expected.dtypes and rows_of(got) == rows_of(expected) and rows_of(got)
+
+
+def test_levels_are_made_in_as_many_tasks_as_the_session_asks_for(spark, requests, shows):
+    import re
+
+    for one in (levels.type_report, levels.item_report):
+        df = one(kpi.counted_requests(requests, DAY), shows, DAY, FIRST, LAST, kpi.DEMAND)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        below = re.split(r"\n\+- == Initial Plan", plan)[0].split("Generate explode", 1)[1]
+        # The first exchange under the levels; merged tasks would read it by an AQEShuffleRead.
+        read, exchange = below.split("Exchange ", 1)
+        assert "REPARTITION_BY_NUM" in exchange.split("\n", 1)[0] and "AQEShuffleRead" not in read
