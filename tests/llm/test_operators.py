@@ -287,6 +287,31 @@ def test_toxicity(spark, docs, odd_docs):
     assert toxicity.train(docs, none) is None and toxicity.scored(docs, None).where("tox_score = 0").count() == 400
 
 
+def test_toxicity_learns_from_all_labelled_texts(spark, monkeypatch):
+    """Each toxic word is in one text only; one text is longer than any that was learned from before."""
+    monkeypatch.setattr(toxicity, "PART_ROWS", 700)
+    n = 2_600
+    rng = np.random.RandomState(2)
+    rows, long = [], next(i for i in range(1, n) if zlib.crc32(str(i).encode()) % 5)
+    for i in range(n):
+        own = [f"w{j}" for j in rng.randint(0, 300, 12)] + ([f"vile{i}"] if i % 2 else [])
+        rows.append((i, " ".join(own) + (" w1" * 8_000 if i == long else ""), "en", i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int").repartition(4).cache()
+    net = toxicity.train(docs, docs.select("doc_id", "toxic"))
+    new = toxicity._new()
+    texts = docs.where(~held_out() & ~(F.pmod(F.xxhash64(F.lit("kept"), "doc_id"), F.lit(toxicity.CALIBRATION)) == 1)).where("toxic = 1").toPandas()
+    word, _ = toxicity.buckets(*text_bytes(pa.array([f"vile{i}" for i in texts["doc_id"]])))
+    # A word that never gives a filter's largest response has no gradient: a few stay as they were.
+    assert len(word) > 800 and (net.embed[word] != new.embed[word].astype(np.float32)).any(1).mean() > 0.95
+    again = toxicity.train(docs.repartition(3), docs.select("doc_id", "toxic"))
+    assert (again.embed == net.embed).all() and (again.threshold == net.threshold).all() and (again.profile == net.profile).all()
+    # Word counts are those of all learnable texts.
+    words = docs.where(~held_out()).select(F.explode(F.split("text", " "))).count()
+    bucket, _ = toxicity.buckets(*text_bytes(pa.array(["w1"])))
+    ones = docs.where(~held_out()).select(F.explode(F.split("text", " ")).alias("w")).where("w = 'w1'").count()
+    assert abs(np.exp(net.profile[bucket[0], 0]) / ((ones + 0.1) / (words + 0.1 * toxicity.BUCKETS)) - 1) < 0.01
+
+
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
 
