@@ -18,11 +18,10 @@ from airwave.functions.calendar import DAY, HOUR, Grain, dense_calendar, period_
 from airwave.functions.ratios import minutes
 from airwave.operators import kpi
 from airwave.operators.flows import ACTIVE, KNOWN, PREVIOUS, bounds, flow_marks
-from airwave.operators.skew import lookup
+from airwave.operators.skew import lookup, session_tasks
 
 #: Levels: a user of the period, a user of a group, an item of the period, an item of a group.
 USER, MEMBER, ITEM, GROUP_ITEM = range(4)
-_MEASURES = ["users", "reached", "entering", "leaving", "seconds", "requests", "shows"]
 _OF_GROUP = ["group_users", "group_seconds", "group_items"]
 
 
@@ -41,7 +40,7 @@ def _sums(rows: DataFrame, group: str, item: str | None) -> DataFrame:
     ``spark.sql.shuffle.partitions``: a task keeps a group for nearly every level of its rows, far more
     than their compressed size tells adaptive execution, which would merge tasks by that size.
     """
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = session_tasks(rows)
     rows = rows.select("period", "uid", "seconds", "n", "n_flagged", group, *([item] if item else []))
     rows = rows.repartition(tasks, *rows.columns)
     named, zero = F.col(group), F.lit(0).cast("long")
@@ -64,6 +63,10 @@ def _one(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0).cast("long")
 
 
+def _part(parts: int, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int")
+
+
 def grouped_with_totals(
     requests: DataFrame,
     grain: Grain,
@@ -95,47 +98,56 @@ def grouped_with_totals(
         )
         states = states.unionByName(known, allowMissingColumns=True)
 
+    # Dealt by number from here on, evenly: no task holds all lines of a group or all rows of a period.
+    tasks = session_tasks(requests)
+    states = states.withColumn("part", _part(tasks, "level", "uid", "group", "item")).repartitionById(tasks, "part")
+
     # A user's periods are one line; every other level's lines are as short as the calendar too.
-    line = Window.partitionBy("level", "uid", "group", "item").orderBy("period")
+    line = Window.partitionBy("part", "level", "uid", "group", "item").orderBy("period")
     marks = flow_marks(grain, line)
-    level, role, zero = F.col("level"), F.col("role"), F.lit(0).cast("long")
+    level, zero = F.col("level"), F.lit(0).cast("long")
     user, active = level == USER, F.col("role") == ACTIVE
-
-    def of_users(value: Column) -> Column:
-        return F.when(user, value).otherwise(zero)
-
+    # A row counts for its period's total or for its group, never for both.
     counted = states.select(
+        "part",
         "period",
         "group",
         user | (level == ITEM),
-        *[of_users(mark).alias(name) for name, mark in marks.items()],
-        of_users(F.when(active, F.col("seconds")).otherwise(zero)).alias("seconds"),
-        of_users(F.when(active, F.col("requests")).otherwise(zero)).alias("requests"),
-        _one((level == ITEM) & active).alias("shows"),
-        _one((level == MEMBER) & active).alias("group_users"),
-        F.when((level == MEMBER) & active, F.col("seconds")).otherwise(zero).alias("group_seconds"),
-        _one((level == GROUP_ITEM) & active).alias("group_items"),
+        F.when(user, marks["users"]).otherwise(_one((level == MEMBER) & active)),
+        F.when(user, marks["reached"]).otherwise(zero),
+        F.when(level.isin(USER, MEMBER) & active, F.col("seconds")).otherwise(zero),
+        _one(level.isin(ITEM, GROUP_ITEM) & active),
     )
-    names = [*_MEASURES, *_OF_GROUP]
-    counted = counted.toDF("period", "group", "total", *names)
+    names = ["users", "reached", "seconds", "shows"]
+    counted = counted.toDF("part", "period", "group", "total", *names)
+    sums = [F.sum(n).alias(n) for n in names]
+    # A task's own sums first: of a total, or of a large group, each task hands on one row a period.
+    counted = counted.groupBy("part", "total", "period", "group").agg(*sums).drop("part")
     empty = dense_calendar(requests.sparkSession, grain, long_before, end).select(
         "period", F.lit(True).alias("total"), *[zero.alias(n) for n in names]
     )
     counts = (
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [counted, empty])
+        counted.unionByName(empty, allowMissingColumns=True)
+        .repartition(tasks, "total", "group")
         .groupBy("total", "period", "group")
-        .agg(*[F.sum(n).alias(n) for n in names])
+        .agg(*sums)
     )
-    # From here on there is one row per period and group, and one per period for the totals.
+    # From here on there is one row per period and group, and one per period for the totals, which goes
+    # to every part of the period's groups.
     run = Window.partitionBy("total", "group").orderBy("period")
+    every, own = F.sequence(F.lit(0), F.lit(tasks - 1)), F.array(_part(tasks, "period", "group"))
+    out = (
+        counts.withColumn("cover", F.sum("reached").over(run))
+        .withColumn("part", F.explode(F.when(F.col("total"), every).otherwise(own)))
+        .repartitionById(tasks, "part")
+    )
     total = F.when(F.col("total"), F.struct("users", "cover", "seconds", "shows"))
-    beside = F.max(total).over(Window.partitionBy("period"))
-    out = counts.withColumn("cover", F.sum("reached").over(run)).withColumn("t", beside)
-    kept = ["group_users", "group_seconds", *(["group_items"] if item else [])]
+    out = out.withColumn("t", F.max(total).over(Window.partitionBy("part", "period")))
+    of_group = {"users": "group_users", "seconds": "group_seconds", **({"shows": "group_items"} if item else {})}
     return out.filter(~F.col("total") & (period >= start)).select(
         period_key(grain, period).alias(grain.name),
         F.col("group").alias(group),
-        *kept,
+        *[F.col(n).alias(name) for n, name in of_group.items()],
         F.col("t.users").alias("user_num"),
         F.col("t.cover").alias("cover_user_num"),
         minutes(F.col("t.seconds")).alias("time_in_use"),
@@ -145,7 +157,8 @@ def grouped_with_totals(
 
 def type_report(requests, dictionary, grain, first, last, business, *, kinds=None, weight=kpi.WEIGHT, seed_cover=None) -> DataFrame:
     """KPIs per period and type, as of ``kpi.type_report``, from one aggregate."""
-    typed = lookup(requests, kpi.reported(dictionary, business, kinds), "left")
+    known = kpi.reported(dictionary, business, kinds)
+    typed = lookup(requests, known, "left", tasks=session_tasks(requests))
     groups = grouped_with_totals(typed, grain, first, last, business.kind, item=business.item, seed_cover=seed_cover)
     return kpi.with_totals(groups, grain, business, [business.kind], business.prefix, weight)
 

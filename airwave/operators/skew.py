@@ -22,8 +22,14 @@ def heavy_keys(rows: DataFrame, by: str = "uid", limit: int = HEAVY_ROWS) -> Dat
     return counts.filter((F.col("_n") > limit) & (F.col("_n") * MOST_HEAVY > total)).select(by)
 
 
+def session_tasks(rows: DataFrame) -> int:
+    """The session's ``spark.sql.shuffle.partitions``: a number of tasks that, asked for by name, adaptive
+    execution does not merge by compressed size."""
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def lookup(
-    rows: DataFrame, unique: DataFrame, how: str = "inner", spread: str | None = "uid"
+    rows: DataFrame, unique: DataFrame, how: str = "inner", spread: str | None = "uid", *, tasks: int | None = None
 ) -> DataFrame:
     """Add the type of each row's name from a dictionary with one row per name.
 
@@ -31,10 +37,17 @@ def lookup(
     and each entry meets all of them, so that a name with a large share of the rows is not one
     task. Whether the entries are broadcast is left to adaptive execution. Without ``spread``
     (rows of which no name has many) it is a plain join.
+
+    A dictionary that grows with the data takes ``tasks``: both sides are then dealt to that many, so
+    that adaptive execution sees all NAME_PARTS copies of the entries before it broadcasts them (a plan
+    made from the size of the files does not) and can join without a shuffle more.
     """
     name = unique.columns[0]
     if spread is None:
         return rows.join(unique, name, how)
     parts = F.explode(F.sequence(F.lit(0), F.lit(NAME_PARTS - 1)))
     dealt = rows.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(NAME_PARTS)).cast("int"))
-    return dealt.join(unique.withColumn("_part", parts), [name, "_part"], how).drop("_part")
+    entries = unique.withColumn("_part", parts)
+    if tasks is not None:
+        dealt, entries = (side.repartition(tasks, name, "_part") for side in (dealt, entries))
+    return dealt.join(entries, [name, "_part"], how).drop("_part")

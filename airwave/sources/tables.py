@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from airwave.functions.calendar import month_key, week_key, whole_seconds, with_calendar_keys
 from airwave.functions.text import clean_channel, known_or_mark, time_text
+from airwave.operators.skew import session_tasks
 from airwave.sources.logs import HEARTBEAT, KEY_FIELDS, LIVE, OPEN
 
 VIEWS = ("view", "click", "purchase")
@@ -128,7 +129,11 @@ def channel_dictionary(spark: SparkSession) -> DataFrame:
 
 
 def demand_viewing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Demand records by day (uid, seconds, day, show_name, week, month, flag)."""
+    """Demand records by day (uid, seconds, day, show_name, week, month, flag).
+
+    The orders are dealt by number: where both tables are sorted, adaptive execution then leaves the
+    tasks of the join, which also collect its rows, as many as the session asks for.
+    """
     day = F.to_date("o_orderdate")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("uid"), day.alias("day")
@@ -139,6 +144,7 @@ def demand_viewing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("show_name"),
         (F.col("l_returnflag") == "N").alias("flag"),
     )
+    orders = orders.repartition(session_tasks(orders), "o_orderkey")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         "uid", "seconds", "day", "show_name",

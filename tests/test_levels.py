@@ -91,3 +91,41 @@ def test_levels_are_made_in_as_many_tasks_as_the_session_asks_for(spark, request
         # The first exchange under the levels; merged tasks would read it by an AQEShuffleRead.
         read, exchange = below.split("Exchange ", 1)
         assert "REPARTITION_BY_NUM" in exchange.split("\n", 1)[0] and "AQEShuffleRead" not in read
+
+
+def final(df):
+    import re
+
+    df.collect()
+    return re.split(r"\n\+- == Initial Plan", df._jdf.queryExecution().executedPlan().toString())[0]
+
+
+def test_copies_of_a_dictionary_count_before_they_are_broadcast(spark, requests):
+    from pyspark.sql import functions as F
+
+    names = spark.range(20_000).select(F.concat(F.lit("s"), "id").alias("show_name"), F.lit(kpi.DEMAND.kinds[0]).alias("show_type"))
+    limits = {f"spark.sql.{x}autoBroadcastJoinThreshold": "2m" for x in ("", "adaptive.")}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        # The names alone are 1 MB, their eight copies are not.
+        plan = final(levels.type_report(kpi.counted_requests(requests, DAY), names, DAY, FIRST, LAST, kpi.DEMAND))
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_windows_of_a_report_read_tasks_that_are_not_merged(spark, requests, shows):
+    import re
+
+    for one in (levels.type_report, levels.item_report):
+        plan = final(one(kpi.counted_requests(requests, DAY), shows, DAY, FIRST, LAST, kpi.DEMAND))
+        windows = plan.split("Window [")[1:]
+        assert len(windows) == 3
+        for below in windows:
+            read, exchange = below.split("Exchange ", 1)
+            how = exchange.split("\n", 1)[0]
+            assert "REPARTITION_BY_NUM" in how and "AQEShuffleRead" not in read, how
+            # A period is one key for all its groups.
+            assert not re.match(r"hashpartitioning\(period#\d+, \d+\)", how)

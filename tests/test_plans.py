@@ -138,3 +138,12 @@ def test_hour_reports_read_the_events_once_for_each_kind(spark, sf_dir):
     for name, most in (("live_show_hour", 4), ("live_type_hour", 4), ("demand_show_hour", 3)):
         plan = executed(spark, sf_dir, name)
         assert len(re.findall(r"FileScan parquet", plan)) <= most, name
+
+
+def test_requests_are_joined_in_as_many_tasks_as_the_session_asks_for(spark, sf_dir):
+    for name in ("demand_show_day", "fix_week_type", "demand_summary_day"):
+        plan = executed(spark, sf_dir, name,
+                        **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+        for side in re.split(r"SortMergeJoin \[l_orderkey", plan)[1].split("Sort [")[1:3]:
+            assert "orderkey" in side and "AQEShuffleRead" not in side.split("Exchange ", 1)[0], name
